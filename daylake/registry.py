@@ -304,7 +304,7 @@ def _rolling_revenue(spark: SparkSession, sf_dir: str, key: str) -> DataFrame:
         mean_name="avg_revenue",
         sum_name="revenue",
     )
-    return _comparable(rows, 2)
+    return _comparable(rows, 4)
 
 
 @_query
