@@ -7,14 +7,15 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, functions as F
 
 from daylake.functions import nan_as_null
+from daylake.functions.degree_days import as_column
 from daylake.schemas import BRONZE, conform
 
 
-def _required(df: DataFrame, column: str) -> Column:
-    """The column, failing the job on a null instead of storing it."""
-    message = F.lit(f"bronze column {column} must not be null")
-    kind = df.schema[column].dataType
-    return F.coalesce(F.col(column), F.raise_error(message).cast(kind)).alias(column)
+def _required(name: str, value: Column | str) -> Column:
+    """The value, failing the job on a null instead of storing it."""
+    value = as_column(value)
+    failure = F.raise_error(F.lit(f"bronze column {name} must not be null"))
+    return F.when(value.isNotNull(), value).otherwise(failure).alias(name)
 
 
 def bronze_rows(
@@ -35,21 +36,19 @@ def bronze_rows(
         loaded = F.current_timestamp()
     else:
         loaded = ingested_at if isinstance(ingested_at, Column) else F.lit(ingested_at)
-    typed = readings.select(
-        origin.alias("source"),
-        "location_id",
-        F.to_date("observation_date").alias("observation_date"),
-        F.to_date("observation_date").alias("ingest_date"),
+    day = _required("observation_date", F.to_date("observation_date"))
+    rows = readings.select(
+        _required("source", origin),
+        _required("location_id", "location_id"),
+        day,
+        day.alias("ingest_date"),
         nan_as_null(F.col("tavg_c").cast("double")).alias("tavg_c"),
         nan_as_null(F.col("prcp_mm").cast("double")).alias("prcp_mm"),
         "latitude",
         "longitude",
-        loaded.alias("ingested_at"),
-    )
-    typed = conform(typed, BRONZE)
-    return typed.select(
-        [F.col(f.name) if f.nullable else _required(typed, f.name) for f in BRONZE]
+        _required("ingested_at", loaded),
     )
+    return conform(rows, BRONZE)
 
 
 def readings_for_locations(readings: DataFrame, locations: DataFrame) -> DataFrame:

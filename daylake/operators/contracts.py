@@ -170,19 +170,20 @@ def enforce(report: DataFrame, shown: int = 20) -> None:
 def contract_sample(
     df: DataFrame,
     suite: Suite | str,
-    order_by: Sequence[str],
+    order_by: Sequence[str] = (),
     by: str = "observation_date",
     n: int = 5,
 ) -> DataFrame:
     """The first ``n`` rows of each partition, with ``suite`` and ``partition_key``.
 
-    ``order_by`` should identify a row.  The rank filter is applied inside every
-    map task before the shuffle, so a task sends at most ``n`` rows per partition.
+    The rank filter is applied inside every map task before the shuffle, so a task
+    sends at most ``n`` rows per partition.  ``order_by`` makes the choice
+    repeatable, at the price of a full sort of each task's rows; without it any
+    ``n`` rows are taken, and tasks sort by the partition value alone.
     """
     name = suite if isinstance(suite, str) else suite.name
-    ranked = df.withColumn(
-        "_rank", F.row_number().over(Window.partitionBy(by).orderBy(*order_by))
-    )
+    in_partition = Window.partitionBy(by).orderBy(*(order_by or [by]))
+    ranked = df.withColumn("_rank", F.row_number().over(in_partition))
     return ranked.where(F.col("_rank") <= n).select(
         F.lit(name).alias("suite"), F.col(by).cast("string").alias("partition_key"), *df.columns
     )

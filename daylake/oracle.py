@@ -5,8 +5,10 @@ from __future__ import annotations
 READINGS = """readings AS (
   SELECT event_id, 'LOC' || CAST(user_id AS VARCHAR) AS location_id,
          CAST(ts AS DATE) AS observation_date, event_type AS source,
-         CASE WHEN event_type <> 'error'
-              THEN value / CAST(6 AS DOUBLE) - CAST(15 AS DOUBLE) END AS tavg_c,
+         CASE WHEN event_type = 'error' THEN NULL
+              WHEN isodow(ts) = 7 THEN value / CAST(2 AS DOUBLE) - CAST(15 AS DOUBLE)
+              ELSE least(value / CAST(6 AS DOUBLE) - CAST(15 AS DOUBLE), CAST(60 AS DOUBLE))
+         END AS tavg_c,
          CASE WHEN event_type = 'view' THEN CAST(0 AS DOUBLE)
               WHEN event_type NOT IN ('error', 'signup') THEN value END AS prcp_mm,
          CAST(user_id % 181 - 90 AS DOUBLE) AS latitude,

@@ -130,9 +130,7 @@ def _rows_of(
     return rows if only is None else rows.join(only, "ingest_date", "left_semi")
 
 
-def _gate(
-    rows: DataFrame, suite: Suite, lake: Lake, row_key: tuple[str, ...]
-) -> tuple[DataFrame, DataFrame]:
+def _gate(rows: DataFrame, suite: Suite, lake: Lake) -> tuple[DataFrame, DataFrame]:
     """Sample, check and split; returns the passing rows and the report.
 
     The report is a few rows per day; it is staged so that splitting, quarantine
@@ -140,7 +138,7 @@ def _gate(
     passes, the rows are neither split nor read once more.
     """
     if lake.samples:
-        write_samples(contract_sample(rows, suite, row_key, by="ingest_date"), lake.samples)
+        write_samples(contract_sample(rows, suite, by="ingest_date"), lake.samples)
     report = stage(contract_report(rows, suite, by="ingest_date"), "contract-report")
     if report.where(~F.col("passed")).isEmpty():
         return rows, report
@@ -166,7 +164,7 @@ def build_silver(
     range to some of its days.  Returns the contract report.
     """
     silver = silver_features(_rows_of(spark, lake.bronze, days, only))
-    passing, report = _gate(silver, SILVER_SUITE, lake, ("location_id", "source", "tavg_c", "prcp_mm"))
+    passing, report = _gate(silver, SILVER_SUITE, lake)
     persist(
         passing,
         lake.silver,
@@ -193,7 +191,7 @@ def build_gold(
     """
     silver = _rows_of(spark, lake.silver, days, only)
     gold = stage(gold_summary(silver, listed_sources(silver)), "gold")
-    passing, report = _gate(gold, GOLD_SUITE, lake, ("region_id",))
+    passing, report = _gate(gold, GOLD_SUITE, lake)
     persist(
         passing,
         lake.gold,

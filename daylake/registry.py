@@ -70,8 +70,17 @@ def all_queries() -> dict[str, Query]:
 # ---------------------------------------------------------------- inputs
 
 
+# Given schemas spare every query the job that infers them.
+_INPUTS = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+    "value double, props string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(_INPUTS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _location() -> Column:
@@ -79,15 +88,21 @@ def _location() -> Column:
 
 
 def readings(spark: SparkSession, sf_dir: str, *extra: Column) -> DataFrame:
-    """Events as weather readings: an 'error' carries no measure, a 'signup' no
-    precipitation, a 'view' is dry."""
+    """Events as weather readings.
+
+    An 'error' carries no measure, a 'signup' no precipitation, a 'view' is dry.
+    Temperatures stay within the contract, except on Sundays, when readings come in
+    on another scale: so some days break the contract at every data size.
+    """
     kind, value = F.col("event_type"), F.col("value")
+    usual = F.least(value / 6.0 - 15.0, F.lit(60.0))
+    temperature = F.when(F.weekday("ts") == 6, value / 2.0 - 15.0).otherwise(usual)
     return table(spark, sf_dir, "events").select(
         "event_id",
         _location().alias("location_id"),
         F.to_date("ts").alias("observation_date"),
         kind.alias("source"),
-        F.when(kind != "error", value / 6.0 - 15.0).alias("tavg_c"),
+        F.when(kind != "error", temperature).alias("tavg_c"),
         F.when(kind == "view", 0.0).when(~kind.isin("error", "signup"), value).alias("prcp_mm"),
         (F.col("user_id") % 181 - 90).cast("double").alias("latitude"),
         (F.col("user_id") * 7 % 361 - 180).cast("double").alias("longitude"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql.types import (
     ArrayType,
     DateType,
@@ -102,4 +102,6 @@ DAILY_REPLY = _schema(
 
 def conform(df: DataFrame, schema: StructType) -> DataFrame:
     """Project ``df`` to the columns of ``schema``, in its order and types."""
-    return df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
+    return df.selectExpr(
+        *[f"CAST(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`" for f in schema]
+    )
