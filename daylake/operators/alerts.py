@@ -88,9 +88,14 @@ def stale_keys(
     seconds: int = 86_400,
     ts: str = "ts",
 ) -> DataFrame:
-    """Last event of each key and whether it is older than the limit at ``as_of``."""
-    now = as_of if isinstance(as_of, Column) else F.lit(as_of)
+    """Last event of each key and whether it is older than the limit at ``as_of``.
+
+    An ``as_of`` without a zone is read on the same clock as ``ts``.
+    """
     kind = events.schema[ts].dataType
+    if isinstance(as_of, datetime) and as_of.tzinfo is None:
+        as_of = as_of.isoformat(sep=" ")
+    now = as_of if isinstance(as_of, Column) else F.lit(as_of)
     age = _seconds(now.cast(kind) - F.col("last_seen"))
     return (
         events.groupBy(*key)

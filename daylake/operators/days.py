@@ -65,7 +65,7 @@ def date_spine(
     spark: SparkSession, start: date | str, end: date | str, column: str = "observation_date"
 ) -> DataFrame:
     """One row per day of the inclusive range."""
-    return spark.range(1).select(_days_between(start, end).alias(column))
+    return spark.range(0, 1, 1, 1).select(_days_between(start, end).alias(column))
 
 
 def location_date_grid(locations: DataFrame, start: date | str, end: date | str) -> DataFrame:

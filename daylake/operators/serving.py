@@ -29,10 +29,14 @@ def region_snapshot(df: DataFrame, day: date | str) -> DataFrame:
     return rows.withColumn("observation_date", day_literal(day)).orderBy("region_id")
 
 
-def snapshot_totals(snapshot: DataFrame, *, approximate: bool = False) -> DataFrame:
-    """Number of regions, total precipitation and mean temperature of a snapshot."""
+def snapshot_totals(
+    df: DataFrame, day: date | str | None = None, *, approximate: bool = False
+) -> DataFrame:
+    """Number of regions, total precipitation and mean temperature of one day (or of
+    all rows).  Takes the table, not a sorted snapshot: a sort would be kept."""
+    rows = df if day is None else day_partition(df, day)
     count = F.approx_count_distinct if approximate else F.count_distinct
-    return snapshot.agg(
+    return rows.agg(
         count("region_id").alias("regions"),
         F.sum("total_prcp_mm").alias("total_prcp_mm"),
         F.avg("avg_temp_c").alias("avg_temp_c"),

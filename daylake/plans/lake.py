@@ -37,6 +37,14 @@ from daylake.sources.tables import Table
 
 OnFailure = Literal["raise", "quarantine"]
 
+# Stored table names (fixed values).
+TABLE_NAMES = {
+    "bronze": "openmeteo_daily",
+    "silver": "climate_daily_features",
+    "gold": "climate_daily_summary",
+}
+SCHEMAS = {"bronze": BRONZE, "silver": SILVER, "gold": GOLD}
+
 
 @dataclass(frozen=True)
 class Lake:
@@ -53,18 +61,8 @@ class Lake:
 
     @classmethod
     def at_path(cls, root: str, **options) -> "Lake":
-        """Tables as partitioned directories below ``root``."""
-        root = root.rstrip("/")
-        places = {
-            "bronze": (BRONZE, f"{root}/bronze/openmeteo_daily"),
-            "silver": (SILVER, f"{root}/silver/climate_daily_features"),
-            "gold": (GOLD, f"{root}/gold/climate_daily_summary"),
-        }
-        tables = {
-            layer: Table(schema, ("ingest_date",), path=path, sort_by=_cluster(layer))
-            for layer, (schema, path) in places.items()
-        }
-        return cls(**tables, **options)
+        """Tables as partitioned directories ``{root}/{layer}/{table}``."""
+        return cls(**{layer: _table(layer, root=root) for layer in SCHEMAS}, **options)
 
     @classmethod
     def in_catalog(
@@ -76,27 +74,25 @@ class Lake:
         **options,
     ) -> "Lake":
         """Catalog tables ``[catalog.]{env}_{layer}.{table}``, below ``root`` if given."""
-        layers = {
-            "bronze": (BRONZE, "openmeteo_daily"),
-            "silver": (SILVER, "climate_daily_features"),
-            "gold": (GOLD, "climate_daily_summary"),
-        }
         tables = {
-            layer: Table(
-                schema,
-                ("ingest_date",),
-                name=table_name(env, layer, table, catalog),
-                path=f"{root.rstrip('/')}/{layer}/{table}" if root else None,
-                sort_by=_cluster(layer),
-                provider=provider,
-            )
-            for layer, (schema, table) in layers.items()
+            layer: _table(layer, table_name(env, layer, name, catalog), root, provider)
+            for layer, name in TABLE_NAMES.items()
         }
         return cls(**tables, env=env, **options)
 
 
-def _cluster(layer: str) -> tuple[str, ...]:
-    return ("region_id",) if layer == "gold" else ("location_id",)
+def _table(
+    layer: str, name: str | None = None, root: str | None = None, provider: str = "parquet"
+) -> Table:
+    """A layer's table: partitioned by day, clustered by place inside its files."""
+    return Table(
+        SCHEMAS[layer],
+        ("ingest_date",),
+        name=name,
+        path=f"{root.rstrip('/')}/{layer}/{TABLE_NAMES[layer]}" if root else None,
+        sort_by=("region_id" if layer == "gold" else "location_id",),
+        provider=provider,
+    )
 
 
 def in_range(df: DataFrame, days: DayRange) -> DataFrame:
@@ -113,7 +109,7 @@ def load_bronze(
     days: DayRange,
     *,
     source: str | Column = "openmeteo",
-    ingested_at: datetime | None = None,
+    ingested_at: datetime | Column | None = None,
 ) -> None:
     """Parsed readings of the range, with coordinates, as bronze days."""
     wanted = readings.where(days.contains("observation_date"))
@@ -168,7 +164,7 @@ def build_silver(
     persist(
         passing,
         lake.silver,
-        export_path=_export(lake, "climate_daily_features"),
+        export_path=_export(lake, "silver"),
         export_partition_by=("ingest_date",),
         keep_layout=True,
     )
@@ -195,7 +191,7 @@ def build_gold(
     persist(
         passing,
         lake.gold,
-        export_path=_export(lake, "climate_daily_summary"),
+        export_path=_export(lake, "gold"),
         export_partition_by=("ingest_date",),
     )
     if on_failure == "raise":
@@ -203,8 +199,8 @@ def build_gold(
     return report
 
 
-def _export(lake: Lake, table: str) -> str | None:
-    return f"{lake.exports.rstrip('/')}/{table}" if lake.exports else None
+def _export(lake: Lake, layer: str) -> str | None:
+    return f"{lake.exports.rstrip('/')}/{TABLE_NAMES[layer]}" if lake.exports else None
 
 
 def run_window(
@@ -215,7 +211,7 @@ def run_window(
     readings: DataFrame | None = None,
     locations: DataFrame | None = None,
     source: str | Column = "openmeteo",
-    ingested_at: datetime | None = None,
+    ingested_at: datetime | Column | None = None,
     on_failure: OnFailure = "raise",
 ) -> None:
     """Bronze (when readings are given), silver, gold and publishing of a range."""

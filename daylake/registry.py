@@ -52,7 +52,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 FIRST, LAST = date(2024, 1, 1), date(2024, 1, 30)
 WHOLE = DayRange(FIRST, LAST)
 DAY = date(2024, 1, 5)
-LOADED_AT = datetime(2024, 2, 1)
+LOADED_AT = "2024-02-01 00:00:00"
 REGION = "LOC7"
 
 _QUERIES: dict[str, Query] = {}
@@ -116,7 +116,7 @@ def locations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bronze_rows(
-        readings(spark, sf_dir), source=F.col("source"), ingested_at=LOADED_AT
+        readings(spark, sf_dir), source=F.col("source"), ingested_at=F.lit(LOADED_AT).cast("timestamp")
     )
 
 
@@ -342,7 +342,7 @@ def region_snapshot(spark, sf_dir):
 
 @_query
 def snapshot_totals(spark, sf_dir):
-    return _comparable(serving.snapshot_totals(serving.region_snapshot(gold(spark, sf_dir), DAY)))
+    return _comparable(serving.snapshot_totals(gold(spark, sf_dir), DAY))
 
 
 @_query
@@ -546,7 +546,7 @@ def range_run(spark, sf_dir):
         readings=rows.drop("latitude", "longitude"),
         locations=locations(spark, sf_dir),
         source=F.col("source"),
-        ingested_at=LOADED_AT,
+        ingested_at=F.lit(LOADED_AT).cast("timestamp"),
         on_failure="quarantine",
     )
     return _comparable(sink.table.read(spark))

@@ -100,7 +100,7 @@ def test_serving_queries(spark):
         ("LOC1", 10.0, 0.0, "N", 8.0, 0.0, day(1)),
         ("LOC2", 25.0, 1.5, "Y", 0.0, 7.0, day(1)),
     ]
-    assert tuple(serving.snapshot_totals(snapshot).first()) == (2, 1.5, 17.5)
+    assert tuple(serving.snapshot_totals(gold, day(1)).first()) == (2, 1.5, 17.5)
     assert serving.snapshot_totals(snapshot, approximate=True).first().regions == 2
     history = serving.region_history(gold, "LOC2", 1, as_of=day(3))
     assert [r.observation_date for r in history.collect()] == [day(2), day(3)]
