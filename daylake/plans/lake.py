@@ -29,7 +29,7 @@ from daylake.operators.days import BackfillRequest, DayRange, missing_days
 from daylake.operators.gold import gold_summary, listed_sources
 from daylake.operators.silver import silver_features
 from daylake.schemas import BRONZE, GOLD, SILVER
-from daylake.session import stage
+from daylake.session import stage, staged
 from daylake.sinks.serving import Sink, publish_table
 from daylake.sinks.tables import export_parquet, persist, replace_partitions, write_samples
 from daylake.sources.locations import read_locations
@@ -186,14 +186,14 @@ def build_gold(
     The aggregate is staged once; contract, table and export read the staged rows.
     """
     silver = _rows_of(spark, lake.silver, days, only)
-    gold = stage(gold_summary(silver, listed_sources(silver)), "gold")
-    passing, report = _gate(gold, GOLD_SUITE, lake)
-    persist(
-        passing,
-        lake.gold,
-        export_path=_export(lake, "gold"),
-        export_partition_by=("ingest_date",),
-    )
+    with staged(gold_summary(silver, listed_sources(silver)), "gold") as gold:
+        passing, report = _gate(gold, GOLD_SUITE, lake)
+        persist(
+            passing,
+            lake.gold,
+            export_path=_export(lake, "gold"),
+            export_partition_by=("ingest_date",),
+        )
     if on_failure == "raise":
         enforce(report)
     return report

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -52,7 +54,22 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     Cuts lineage: later actions read the written files, so neither a second
     action nor a lost executor repeats the work upstream of this point.
     """
+    return _write_and_read(df, working_dir(df.sparkSession, label))
+
+
+def _write_and_read(df: DataFrame, path: str) -> DataFrame:
+    df.write.mode("error").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def staged(df: DataFrame, label: str) -> Iterator[DataFrame]:
+    """:func:`stage` for the length of a block; the files are removed after it."""
     spark = df.sparkSession
     path = working_dir(spark, label)
-    df.write.mode("error").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    try:
+        yield _write_and_read(df, path)
+    finally:
+        context = spark.sparkContext
+        target = context._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(context._jsc.hadoopConfiguration()).delete(target, True)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from daylake.operators.days import SAFETY_HORIZON, safety_cutoff
 
@@ -21,8 +21,13 @@ def list_files(spark: SparkSession, root: str, pattern: str = "*.parquet") -> Da
 
 
 def live_files(table: DataFrame) -> DataFrame:
-    """Paths of the files a table reads: footers only, made distinct map-side."""
-    return table.select(F.col("_metadata.file_path").alias("path")).distinct()
+    """Paths of the files a table reads: footers only, made distinct map-side.
+
+    File metadata spells paths percent-encoded, a listing does not.
+    """
+    encoded = F.col("_metadata.file_path").alias("path")
+    plain = F.url_decode(F.regexp_replace("path", r"\+", "%2B"))
+    return table.select(encoded).distinct().select(plain.alias("path"))
 
 
 def orphan_files(
@@ -33,25 +38,41 @@ def orphan_files(
 ) -> DataFrame:
     """Files not in ``live`` that were last changed before ``as_of`` - ``horizon``."""
     old = files.where(F.col("modificationTime") < F.lit(safety_cutoff(as_of, horizon)))
-    return old.join(live.select(_normal(F.col("path")).alias("_p")),
-                    _normal(F.col("path")) == F.col("_p"), "left_anti")
+    known = live.select(_normal("path").alias("_live"))
+    return old.join(known, _normal("path") == F.col("_live"), "left_anti")
 
 
-def _normal(path):
-    """The two listings spell local paths differently (``file:/x``, ``file:///x``)."""
-    return F.regexp_replace(path, "^([a-z][a-z0-9+.-]*):/{3}", "$1:/")
+def _normal(path: str) -> Column:
+    """One spelling for local paths (``file:/x``, ``file:///x``)."""
+    return F.regexp_replace(F.col(path), "^([a-z][a-z0-9+.-]*):/{3}", "$1:/")
 
 
-def delete_files(spark: SparkSession, orphans: DataFrame) -> int:
-    """Remove the reported files; returns how many were removed.
+# Names pyarrow gives to the same stores (fixed values).
+_SCHEMES = {"s3a": "s3", "s3n": "s3"}
 
-    Paths stream to the driver one result partition at a time; file removal itself
-    is a metadata call for each file.
-    """
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    removed = 0
-    for row in orphans.select("path").toLocalIterator():
-        target = jvm.org.apache.hadoop.fs.Path(row["path"])
-        removed += bool(target.getFileSystem(conf).delete(target, False))
-    return removed
+
+def _uri(path: str) -> str:
+    """A listed path as a full URI (listings shorten ``file:///x`` to ``file:/x``)."""
+    scheme, rest = path.split(":", 1)
+    rest = rest if rest.startswith("//") else f"//{rest}"
+    return f"{_SCHEMES.get(scheme, scheme)}:{rest}"
+
+
+def _delete_batches(batches):
+    from urllib.parse import quote
+
+    from pyarrow import fs
+
+    for batch in batches:
+        for path in batch["path"]:
+            store, name = fs.FileSystem.from_uri(quote(_uri(path), safe=":/"))
+            try:
+                store.delete_file(name)
+            except FileNotFoundError:
+                pass  # an earlier attempt of this task removed it
+        yield batch
+
+
+def delete_files(orphans: DataFrame) -> int:
+    """Remove the reported files, on the executors; returns how many were reported."""
+    return orphans.select("path").mapInPandas(_delete_batches, "path string").count()

@@ -211,6 +211,19 @@ def test_orphan_files(spark, tmp_path):
     assert found and all("ingest_date=2024-01-03" in p for p in found)
     now = datetime.now(timezone.utc).replace(tzinfo=None)
     assert files.orphan_files(listed, live, now).isEmpty()  # too young to be touched
-    assert files.delete_files(spark, files.orphan_files(listed, live, later)) == len(found)
+    assert files.delete_files(files.orphan_files(listed, live, later)) == len(found)
     assert files.orphan_files(files.list_files(spark, root), live, later).isEmpty()
     assert spark.read.table(table.name).count() == 4
+
+
+def test_orphan_files_with_awkward_names(spark, tmp_path):
+    root = str(tmp_path / "a b%20c+d")
+    odd = spark.range(4).withColumn("k", F.concat(F.lit("x y:%+"), F.col("id") % 2))
+    odd.write.partitionBy("k").parquet(root)
+    live = files.live_files(spark.read.parquet(root))
+    later = datetime(2100, 1, 1)
+    assert files.orphan_files(files.list_files(spark, root), live, later).isEmpty()
+    none_live = live.limit(0)
+    found = files.orphan_files(files.list_files(spark, root), none_live, later)
+    assert files.delete_files(found) == 4
+    assert files.list_files(spark, root).isEmpty()
