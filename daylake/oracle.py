@@ -332,6 +332,8 @@ def all_oracles() -> dict[str, str]:
             round(rate_per_second, 7) AS rate_per_second, alert
             FROM ({ERROR_RATE})
             WHERE window_end <= {_watermark("event_type = 'error'")}""",
+        "stream_alert_threshold": f"""SELECT * FROM ({_buckets(3600, key='event_type,')})
+            WHERE events > 2 AND window_end <= {_watermark()}""",
         "stream_alert_absence": f"""{_sessions(86_400)} SELECT * FROM sessions
             WHERE session_end <= {_watermark()}""",
     }

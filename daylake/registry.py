@@ -44,7 +44,7 @@ from daylake.sinks.tables import export_parquet, replace_partitions
 from daylake.sources.locations import read_locations
 from daylake.sources.replies import daily_readings, first_reading
 from daylake.sources.tables import Table, day_partition, run_query
-from daylake.streaming.alerts import stream_absence, stream_error_rate
+from daylake.streaming.alerts import stream_absence, stream_count_above, stream_error_rate
 from daylake.streaming.refresh import start_refresh
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -672,6 +672,14 @@ def stream_alert_error_rate(spark, sf_dir):
     return _comparable(rows)
 
 
+@_query
+def stream_alert_threshold(spark, sf_dir):
+    """Hours closed when the stream has been drained."""
+    events = _event_stream(spark, sf_dir)
+    result = stream_count_above(events, threshold=2, seconds=3600, key=["event_type"])
+    return _comparable(_run_stream(spark, result, "threshold"))
+
+
 @_query
 def stream_alert_absence(spark, sf_dir):
     """Sessions closed when the stream has been drained."""
