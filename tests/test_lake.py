@@ -1,10 +1,6 @@
-from datetime import date
-
 import pytest
-from pyspark.sql import functions as F
 
 from daylake.errors import ContractViolation, DataSourceUnavailable
-from daylake.operators.bronze import bronze_rows
 from daylake.operators.days import BackfillRequest, DayRange
 from daylake.plans.lake import (
     Lake,

@@ -2,7 +2,6 @@ import json
 from datetime import date
 
 import pytest
-from pyspark.sql import functions as F
 
 from daylake.errors import DataSourceUnavailable
 from daylake.operators.bronze import bronze_rows, readings_for_locations
