@@ -24,3 +24,7 @@ class ContractViolation(ValueError):
         )
         more = "" if total <= len(failures) else f"; and {total - len(failures)} more"
         super().__init__(f"contract '{suite}' failed: {shown}{more}")
+
+
+class NoSharedFolder(RuntimeError):
+    """Several machines are used and no folder that they share is named."""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -9,6 +10,8 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+from daylake.errors import NoSharedFolder
+
 # Settings that change results or plans.  Cluster sizing (executors, memory,
 # initial shuffle partitions) belongs to the submit configuration.
 SESSION_SETTINGS: dict[str, str] = {
@@ -37,28 +40,39 @@ def build_session(app_name: str = "daylake", master: str | None = None, **conf:
 
 
 def working_dir(spark: SparkSession, label: str) -> str:
-    """A new, unused directory name below the cluster's shared checkpoint folder.
+    """A new, unused directory name below the folder that all machines share.
 
-    The folder is the one the session names in ``spark.checkpoint.dir``.  Only
-    where that is unset (a bare local session) is a temporary folder used.
+    That folder is the one in ``spark.checkpoint.dir``, or the one given to
+    ``setCheckpointDir``.  Only a session that runs on one machine (``local[...]``)
+    may go without; it gets a temporary folder.  Elsewhere a missing folder is an
+    error: executors would write to their own disks.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        root = spark.sparkContext.getCheckpointDir()
+    if not root:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            raise NoSharedFolder(
+                f"under master {master} staged tables need a shared folder; name one in "
+                "spark.checkpoint.dir"
+            )
         root = tempfile.mkdtemp(prefix="daylake-")
     return f"{root.rstrip('/')}/daylake/{label}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
+def stage(df: DataFrame, label: str, compression: str | None = None) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Cuts lineage: later actions read the written files, so neither a second
     action nor a lost executor repeats the work upstream of this point.
     """
-    return _write_and_read(df, working_dir(df.sparkSession, label))
+    return _write_and_read(df, working_dir(df.sparkSession, label), compression)
 
 
-def _write_and_read(df: DataFrame, path: str) -> DataFrame:
-    df.write.mode("error").parquet(path)
+def _write_and_read(df: DataFrame, path: str, compression: str | None = None) -> DataFrame:
+    options = {"compression": compression} if compression else {}
+    df.write.mode("error").options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
