@@ -86,7 +86,8 @@ def read_token_ids(spark: SparkSession, path: str) -> DataFrame:
     totals = rows.groupBy("part").agg(F.sum("n_tokens").alias("_n"))
     earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     base = totals.select("part", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_base"))
-    return rows.join(base, "part").select(
+    # One row a written file: as small as the listing of the files.
+    return rows.join(F.broadcast(base), "part").select(
         "doc_id", (F.col("_base") + F.col("before")).alias("start"), "n_tokens", "ids"
     )
 
