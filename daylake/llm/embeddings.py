@@ -36,9 +36,9 @@ def bucket_keys(
     directions, shift = _projections(dim, tables, hashes, width, seed)
     cells = np.floor((unit @ directions + shift) / width).astype(np.int64).astype(np.uint64)
     cells = cells.reshape(len(vectors), tables, hashes)
-    key = np.arange(tables, dtype=np.uint64)[None, :] + np.uint64(dim) * np.uint64(1 << 20)
-    key = np.repeat(key, len(vectors), axis=0)
-    for part in [labels.astype(np.int64).astype(np.uint64)[:, None], *np.moveaxis(cells, 2, 0)]:
+    key = np.zeros((len(vectors), tables), np.uint64)
+    place = np.arange(tables, dtype=np.uint64)[None, :] + np.uint64(dim) * np.uint64(1 << 20) + np.uint64(1)
+    for part in [place, labels.astype(np.int64).astype(np.uint64)[:, None], *np.moveaxis(cells, 2, 0)]:
         key = (key ^ part) * np.uint64(0x9E3779B97F4A7C15)
         key ^= key >> np.uint64(29)
     return key.view(np.int64)
@@ -71,10 +71,11 @@ def _signed(batches: Iterator[pa.RecordBatch], options: dict) -> Iterator[pa.Rec
                 [
                     batch.column(0).take(pa.array(rows)),
                     batch.column(3).take(pa.array(rows)),
+                    pa.array(labels[rows]),
                     pa.array(list(vectors), pa.list_(pa.float64())),
                     pa.array(list(keys), pa.list_(pa.int64())),
                 ],
-                names=["node", "weight", "vector", "keys"],
+                names=["node", "weight", "label", "vector", "keys"],
             )
 
 
@@ -82,8 +83,8 @@ def _compare(
     table: int, left: tuple, right: tuple, same: bool, threshold: float
 ) -> tuple[np.ndarray, np.ndarray]:
     """Linked index pairs that share no bucket of an earlier table."""
-    (x, kx), (y, ky) = left, right
-    close = x @ y.T >= threshold
+    (x, kx, lx), (y, ky, ly) = left, right
+    close = (x @ y.T >= threshold) & (lx[:, None] == ly[None, :])
     if same:
         close = np.triu(close, 1)
     i, j = np.nonzero(close)
@@ -109,7 +110,9 @@ def _pieces(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.
         sizes = np.diff(np.concatenate([starts, [len(ids)]]))
         for at, size in zip(starts[sizes > 1].tolist(), sizes[sizes > 1].tolist()):
             piece = rows.slice(at, size)
-            node, weight, own, table = (piece.column(c).to_numpy() for c in ("node", "weight", "own", "table"))
+            node, weight, label, own, table = (
+                piece.column(c).to_numpy() for c in ("node", "weight", "label", "own", "table")
+            )
             vectors = piece.column("vector").combine_chunks()
             dim = len(vectors[0])
             x = vectors.flatten().to_numpy().reshape(size, dim)
@@ -118,7 +121,9 @@ def _pieces(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.
             one, two = ids[at, 1], ids[at, 2]
             a = np.flatnonzero(own == one)
             b = np.flatnonzero(own == two)
-            i, j = _compare(int(table[0]), (x[a], keys[a]), (x[b], keys[b]), one == two, threshold)
+            i, j = _compare(
+                int(table[0]), (x[a], keys[a], label[a]), (x[b], keys[b], label[b]), one == two, threshold
+            )
             if not len(i):
                 continue
             i, j = a[i], b[j]
@@ -183,7 +188,7 @@ def near_vectors(
     signed = stage(
         nodes.select("node", "embedding", "label", "weight").mapInArrow(
             lambda batches: _signed(batches, options),
-            "node long, weight long, vector array<double>, keys array<long>",
+            "node long, weight long, label long, vector array<double>, keys array<long>",
         ),
         "signed-vectors",
     )
@@ -203,7 +208,7 @@ def near_vectors(
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)))
         .withColumn("one", F.least("own", "other"))
         .withColumn("two", F.greatest("own", "other"))
-        .select("key", "one", "two", "own", "table", "node", "weight", "vector", "keys")
+        .select("key", "one", "two", "own", "table", "node", "weight", "label", "vector", "keys")
     )
     work = paired.repartition("key", "one", "two").sortWithinPartitions("key", "one", "two")
     found = stage(
