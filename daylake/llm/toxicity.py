@@ -168,7 +168,10 @@ def match_words(
 
 # --- features and the model -----------------------------------------------------------
 
-FEATURES = ("terms", "stems", "off_by_one", "quoted_terms", "quoted_off_by_one")
+KINDS = ("terms", "stems", "off_by_one", "quoted_terms", "quoted_off_by_one")
+#: How much one hit of each kind is taken to say before anything is learnt about it.
+PRIOR = np.array([1.0, 1.0, 0.8, 0.7, 0.5])
+FEATURES = ("any", *KINDS)
 
 
 @dataclass(frozen=True)
@@ -216,12 +219,11 @@ class Scanner:
             yield doc, word, kind, _quoted(before, after)
 
     def features(self, texts: list[str | None]) -> np.ndarray:
-        """Logarithms of the numbers of hits by kind."""
-        counts = np.zeros((len(texts), len(FEATURES)))
+        """The strongest hit by prior, then for each kind whether there is a hit."""
+        found = np.zeros((len(texts), len(KINDS)))
         for doc, _, kind, quoted in self.hits(texts):
-            column = {1: 3 if quoted else 0, 2: 1, 3: 4 if quoted else 2}[kind]
-            counts[doc, column] += 1
-        return np.log1p(counts)
+            found[doc, {1: 3 if quoted else 0, 2: 1, 3: 4 if quoted else 2}[kind]] = 1.0
+        return np.column_stack([(found * PRIOR).max(axis=1, initial=0.0), found])
 
 
 def _quoted(before: str, after: str) -> bool:
@@ -234,15 +236,20 @@ def _quoted(before: str, after: str) -> bool:
     return any(w in REPORTING for w in near)
 
 
-def fit_weights(x: np.ndarray, y: np.ndarray, steps: int = 400, penalty: float = 1e-3) -> np.ndarray:
-    """Logistic regression by Newton steps; constant first."""
+def fit_weights(x: np.ndarray, y: np.ndarray, steps: int = 40, penalty: float = 1e-5) -> np.ndarray:
+    """Logistic regression by Newton steps; constant first.
+
+    What is known about single kinds of hits is learnt with a stronger penalty than
+    the weight of any hit, so a kind that the sample does not show keeps its prior.
+    """
     a = np.column_stack([np.ones(len(x)), x])
     w = np.zeros(a.shape[1])
     w[0] = -2.0
-    for _ in range(min(steps, 40)):
+    hold = np.array([1.0, 1.0, *[20.0] * (a.shape[1] - 2)]) * penalty * max(1, len(x))
+    for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
-        h = (a * (p * (1 - p))[:, None]).T @ a + penalty * max(1, len(x)) * np.eye(len(w))
-        move = np.linalg.solve(h, a.T @ (y - p) - penalty * max(1, len(x)) * w)
+        h = (a * (p * (1 - p))[:, None]).T @ a + np.diag(hold)
+        move = np.linalg.solve(h, a.T @ (y - p) - hold * w)
         w = w + move
         if np.abs(move).max() < 1e-8:
             break
@@ -264,16 +271,14 @@ def fit_toxicity_model(
     remainder: int = 0,
     max_candidates: int = 20_000,
     min_texts: int = 2,
-    min_odds: float = 30.0,
+    min_odds: float = 8.0,
 ) -> ToxicityModel:
     """A model from a bounded sample (``rows``) of labelled documents.
 
     Candidates (``max_candidates`` with the most toxic texts) are units with a text
-    share ``min_odds`` times as high in toxic texts; terms are picked among them one by
-    one, each time the one in most toxic texts not yet explained, until fewer than
-    ``min_texts`` are left to gain.  Equal texts count once.  Words one letter off a term
-    seen in non-toxic texts of one half of the sample are ordinary; the weights
-    come from the other half.
+    share ``min_odds`` times as high in toxic texts; :func:`_cover` picks terms among
+    them.  Equal texts count once.  Words one letter off a term that non-toxic texts
+    of the sample hold are ordinary.
     """
     spark = docs.sparkSession
     sample = labelled_sample(docs, labels, "toxic", rows=rows, modulus=modulus, remainder=remainder)
@@ -305,7 +310,7 @@ def fit_toxicity_model(
         .mapInArrow(count, "unit string, toxic long, other long")
         .groupBy("unit")
         .agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
-        .where((F.col("toxic") >= min_texts) & (odds >= min_odds / 4) & (F.col("other") * 50 <= F.col("toxic")))
+        .where((F.col("toxic") >= min_texts) & (odds >= min_odds) & (F.col("other") * 50 <= F.col("toxic")))
         .orderBy(F.desc("toxic"), "unit")
         .limit(max_candidates)
         .collect()
@@ -340,27 +345,35 @@ def fit_toxicity_model(
             found = {w for _, w, kind, _ in scanner.hits(texts.cast(pa.large_string()).to_pylist()) if kind == 3}
             yield pa.RecordBatch.from_arrays([pa.array(sorted(found), pa.string())], names=["word"])
 
-    halves = F.col("h") % 2 == 0
     ordinary = frozenset(
         r["word"]
-        for r in once.where(~halves & (F.col("y") == 0)).select("text").mapInArrow(near, "word string").distinct().collect()
+        for r in once.where("y = 0").select("text").mapInArrow(near, "word string").distinct().collect()
     )
     untrained = ToxicityModel(automaton, ordinary, np.zeros(len(FEATURES) + 1), terms, stems)
-    featured = _add_features(once.where(halves), untrained).select("h", "x", "y").orderBy("h").toArrow()
+    featured = _add_features(once, untrained).select("h", "x", "y").orderBy("h").toArrow()
     y = featured.column("y").to_numpy().astype(np.float64)
     x = np.array(featured.column("x").to_pylist(), np.float64).reshape(len(y), len(FEATURES))
     return ToxicityModel(automaton, ordinary, fit_weights(x, y), terms, stems)
 
 
-def _cover(texts: list[list[str]], min_texts: int) -> list[str]:
-    """Units that explain the texts; among equals whole words, then longer stems."""
-    inside: dict[str, set[int]] = {}
+def _cover(texts: list[list[str]], min_texts: int, min_company: int = 5) -> list[str]:
+    """Units that explain the texts, then further ones that belong to toxic speech.
+
+    First, one by one, the unit in most texts not yet explained; among equals whole
+    words, then longer stems.  That leaves out units that always stand beside others.
+    So then each unit is added whose texts hold at least ``min_company`` different
+    selections of the units found first: the words of one text and its near copies
+    have the same company everywhere, those of a lexicon have not.
+    """
+    whole: dict[str, set[int]] = {}
     for i, units in enumerate(texts):
         for u in units:
-            inside.setdefault(u, set()).add(i)
-    chosen = []
+            whole.setdefault(u, set()).add(i)
+    rank = lambda u, own: (len(own), not u.endswith("*"), len(u), u)
+    inside = {u: set(own) for u, own in whole.items()}
+    chosen: list[str] = []
     while inside:
-        best = max(inside, key=lambda u: (len(inside[u]), not u.endswith("*"), len(u), u))
+        best = max(inside, key=lambda u: rank(u, inside[u]))
         done = inside.pop(best)
         if len(done) < min_texts:
             break
@@ -369,6 +382,16 @@ def _cover(texts: list[list[str]], min_texts: int) -> list[str]:
             inside[u] = inside[u] - done
             if not inside[u]:
                 del inside[u]
+    first = set(chosen)
+    company = [frozenset(first.intersection(units)) for units in texts]
+    for u in sorted(whole, key=lambda u: rank(u, whole[u]), reverse=True):
+        own = whole[u]
+        said = any(
+            (c.endswith("*") and u.startswith(c[:-1])) or (u[:-1] == c[: len(u) - 1] and own <= whole[c])
+            for c in chosen
+        )
+        if u not in first and not said and len({company[i] for i in own}) >= min_company:
+            chosen.append(u)
     return chosen
 
 
