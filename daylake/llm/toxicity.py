@@ -229,8 +229,10 @@ class Scanner:
 def _quoted(before: str, after: str) -> bool:
     """Whether a mark opens before and closes after the word, or a reporting word is near."""
     for a, b in (('"', '"'), ("“", "”"), ("„", "“"), ("«", "»")):
-        opened = before.rfind(a)
-        if opened >= 0 and b in after and before.find(b, opened + 1) < 0:
+        if b not in after:
+            continue
+        open_ = before.count(a) % 2 == 1 if a == b else before.rfind(a) > before.rfind(b)
+        if open_:
             return True
     near = (before + " " + after).replace(",", " ").replace(":", " ").split()
     return any(w in REPORTING for w in near)
