@@ -116,11 +116,14 @@ def fit_language_model(
     """
     labelled = docs.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
     hashed = labelled.groupBy("lang", F.xxhash64("text").alias("h")).agg(F.lit(1).alias("one"))
-    order = Window.partitionBy("lang").orderBy("h")
-    picked = stage(
-        hashed.withColumn("n", F.row_number().over(order)).where(F.col("n") <= rows_per_language),
-        "language-sample",
-    )
+    # First within parts of a language, so that a language with most of the rows is
+    # never ranked in one task.
+    part = F.pmod("h", F.lit(128))
+    for keys in (["lang", part], ["lang"]):
+        order = Window.partitionBy(*keys).orderBy("h")
+        ranked = hashed.withColumn("n", F.row_number().over(order))
+        hashed = ranked.where(F.col("n") <= rows_per_language).drop("n")
+    picked = stage(hashed, "language-sample")
     n_languages = len(picked.select("lang").distinct().take(max_languages + 1))
     if n_languages > max_languages:
         raise ValueError(f"more than {max_languages} language labels")
