@@ -271,10 +271,12 @@ def drop_near_duplicates(docs: DataFrame, max_group: int = 4096) -> DataFrame:
     many = free_name(docs.columns, "_kept_rows")
     keep = kept.select(F.col("doc_id").alias(name), F.col("_n").alias(many))
     own = F.col("doc_id").cast("long") == F.col(name)
-    single = docs.join(keep.where(F.col(many) == 1), own, "left_semi")
-    repeated = docs.join(keep.where(F.col(many) > 1), own, "left_semi").dropDuplicates(["doc_id"])
+    again = stage(keep.where(F.col(many) > 1), "repeated-ids")
+    out = docs.join(keep.where(F.col(many) == 1), own, "left_semi")
+    if not again.isEmpty():
+        repeated = docs.join(again, own, "left_semi").dropDuplicates(["doc_id"])
+        out = out.unionByName(repeated)
     anonymous = found.where("doc_id is null and component_id is null")
-    out = single.unionByName(repeated)
     if anonymous.isEmpty():
         return out
     lost = docs.where("doc_id is null").dropDuplicates(["text"])
