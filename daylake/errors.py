@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from typing import TYPE_CHECKING
+
+if TYPE_CHECKING:
+    from pyspark.sql import DataFrame
+
 
 class DataSourceUnavailable(RuntimeError):
     """A table or path that a query needs does not exist."""
@@ -12,9 +17,13 @@ class ContractViolation(ValueError):
 
     ``failures`` holds ``(partition_key, rule, column_name, violations)`` tuples
     for the first failing checks; ``total`` is the number of failing checks.
+    ``report`` is the whole report (a data frame), where the caller kept one.
     """
 
-    def __init__(self, suite: str, failures: list[tuple], total: int) -> None:
+    def __init__(
+        self, suite: str, failures: list[tuple], total: int, report: DataFrame | None = None
+    ) -> None:
+        self.report = report
         self.suite = suite
         self.failures = failures
         self.total = total

@@ -51,12 +51,41 @@ def bronze_rows(
     return conform(rows, BRONZE)
 
 
+def unique_locations(locations: DataFrame) -> DataFrame:
+    """The dimension, failing the job where a location occurs more than once."""
+    one = locations.groupBy("location_id").agg(
+        F.first("latitude").alias("latitude"), F.first("longitude").alias("longitude"), F.count("*").alias("_n")
+    )
+    failure = F.raise_error(F.concat(F.lit("location occurs more than once: "), F.col("location_id")))
+    sound = F.when(F.col("_n") > 1, failure).otherwise(F.lit(True))
+    return one.where(sound.cast("boolean")).drop("_n")
+
+
 def readings_for_locations(readings: DataFrame, locations: DataFrame) -> DataFrame:
-    """Coordinates of each reading's location.
+    """Coordinates of each reading's location; see :func:`load_report` for readings of
+    places that the dimension does not have.
 
     The size of the location side decides between broadcast and shuffled join at
     run time (its files' size when planned, its measured size under AQE).
     """
-    return readings.join(
-        locations.select("location_id", "latitude", "longitude"), "location_id", "inner"
+    return readings.join(unique_locations(locations), "location_id", "inner")
+
+
+def load_report(readings: DataFrame, expected: DataFrame) -> DataFrame:
+    """``location_id, observation_date, problem, readings`` where a load is not one to
+    one with the ``expected`` pairs of place and day: ``missing`` (no reading),
+    ``unknown place`` or ``unexpected day`` (readings that no pair takes).
+    """
+    keys = ["location_id", "observation_date"]
+    counts = readings.groupBy(*keys).agg(F.count("*").alias("readings"))
+    pairs = expected.select(*keys).distinct().withColumn("_expected", F.lit(True))
+    places = expected.select("location_id").distinct().withColumn("_place", F.lit(True))
+    joined = counts.join(pairs, keys, "full").join(places, "location_id", "left")
+    problem = (
+        F.when(F.col("readings").isNull(), "missing")
+        .when(F.col("_place").isNull(), "unknown place")
+        .when(F.col("_expected").isNull(), "unexpected day")
+    )
+    return joined.where(problem.isNotNull()).select(
+        *keys, problem.alias("problem"), F.coalesce("readings", F.lit(0)).cast("long").alias("readings")
     )

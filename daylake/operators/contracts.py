@@ -153,7 +153,7 @@ def enforce(report: DataFrame, shown: int = 20) -> None:
     """Raise :class:`ContractViolation` if any check failed.
 
     The message names the first ``shown`` failing checks by day and rule order,
-    and counts the rest.
+    and counts the rest; the error's ``report`` is the whole report.
     """
     failed = report.where(~F.col("passed"))
     first = failed.orderBy("partition_key", "rule_order").limit(shown).collect()
@@ -164,6 +164,7 @@ def enforce(report: DataFrame, shown: int = 20) -> None:
         first[0]["suite"],
         [(r["partition_key"], r["rule"], r["column_name"], r["violations"]) for r in first],
         total,
+        report,
     )
 
 

@@ -5,9 +5,9 @@ row before the map-side combine.  Both string aggregates are therefore restated
 so that Spark keeps to hash aggregation:
 
 * ``had_precip`` (the greater of 'Y'/'N') is a boolean OR;
-* ``source`` (the least name of the group) is either the least code of a given
-  short list of names, or is found in a second step over rows already combined
-  per (region, day, source).
+* ``source`` (the least name of the group) is found in a second step over rows
+  already combined per (region, day, source); or, where the caller names all sources,
+  it is the least code of that list, which saves the second step.
 
 Rows are combined before every shuffle, so a region or day holding a large part
 of the input sends at most one row per map task and group.
@@ -23,20 +23,6 @@ from daylake.schemas import GOLD
 
 KEYS = ("location_id", "observation_date", "ingest_date")
 
-# Above this many names a list lookup per row costs more than the second step.
-MAX_LISTED_SOURCES = 64
-
-
-def listed_sources(silver: DataFrame, limit: int = MAX_LISTED_SOURCES) -> list[str] | None:
-    """The distinct source names, or None when there are more than ``limit``.
-
-    Reads one dictionary-encoded column and returns at most ``limit`` + 1 names
-    to the driver.
-    """
-    names = [r[0] for r in silver.select("source").distinct().limit(limit + 1).collect()]
-    return None if len(names) > limit else [n for n in names if n is not None]
-
-
 def _flag(any_wet: Column) -> Column:
     return F.when(any_wet, F.lit("Y")).when(~any_wet, F.lit("N"))
 
@@ -82,8 +68,8 @@ def gold_summary(silver: DataFrame, sources: Sequence[str] | None = None) -> Dat
     """Average temperature and degree days, total precipitation and a rain flag
     per (region, day).  Nulls are skipped; an all-null group gives null.
 
-    ``sources`` names every source that can occur (see :func:`listed_sources`);
-    it saves the second aggregation step.  A name outside the list fails the job.
+    ``sources``, if the caller knows them, names every source that can occur; it saves
+    the second aggregation step.  A name outside the list fails the job.
     """
     grouped = _one_step(silver, sources) if sources else _two_steps(silver)
     named = grouped.withColumn("had_precip", _flag(F.col("_wet"))).withColumnRenamed(

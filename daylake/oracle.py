@@ -198,6 +198,26 @@ def all_oracles() -> dict[str, str]:
             CAST(k AS DOUBLE), NULL FROM readings""",
         "parse_first_reading": f"""WITH {READINGS}
             SELECT event_id, location_id, tavg_c, prcp_mm FROM readings""",
+        "parse_bad_replies": """SELECT event_id, CASE event_id % 10 WHEN 0 THEN 'not readable'
+            WHEN 1 THEN 'no daily values' WHEN 2 THEN 'not readable' ELSE 'none' END AS problem
+            FROM events""",
+        "bronze_load_report": f"""WITH {READINGS}, {SPINE}, places AS (
+            SELECT DISTINCT location_id FROM readings WHERE latitude >= -80),
+            expected AS (SELECT location_id, observation_date FROM places
+              JOIN spine ON observation_date <= DATE '2024-01-30'),
+            counts AS (SELECT location_id, observation_date, count(*) AS readings
+              FROM readings GROUP BY ALL)
+            SELECT location_id, observation_date,
+              CASE WHEN c.readings IS NULL THEN 'missing'
+                   WHEN location_id NOT IN (SELECT location_id FROM places) THEN 'unknown place'
+                   ELSE 'unexpected day' END AS problem, coalesce(c.readings, 0) AS readings
+            FROM counts c FULL JOIN (SELECT *, true AS known FROM expected) e
+              USING (location_id, observation_date)
+            WHERE c.readings IS NULL OR e.known IS NULL""",
+        "quarantined_and_kept": f"""WITH {READINGS} SELECT observation_date AS ingest_date,
+            count(*) AS n_rows FROM readings GROUP BY ALL""",
+        "missing_days_run": f"""WITH {READINGS} SELECT observation_date AS ingest_date,
+            count(*) AS n_rows FROM readings GROUP BY ALL""",
         "parse_props": f"WITH {READINGS} SELECT event_id, k FROM readings",
         "locations_csv": f"""WITH {READINGS}
             SELECT DISTINCT location_id, latitude, longitude FROM readings""",

@@ -6,7 +6,7 @@ each step idempotent and gives the same tables as running its days one by one.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import date, datetime
 from typing import Literal
@@ -14,7 +14,7 @@ from typing import Literal
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from daylake.naming import table_name
-from daylake.operators.bronze import bronze_rows, readings_for_locations
+from daylake.operators.bronze import bronze_rows, load_report, readings_for_locations
 from daylake.operators.contracts import (
     GOLD_SUITE,
     SILVER_SUITE,
@@ -25,13 +25,19 @@ from daylake.operators.contracts import (
     failing_rows,
     passing_rows,
 )
-from daylake.operators.days import BackfillRequest, DayRange, missing_days
-from daylake.operators.gold import gold_summary, listed_sources
+from daylake.operators.days import BackfillRequest, DayRange, location_date_grid, missing_days
+from daylake.operators.gold import gold_summary
 from daylake.operators.silver import silver_features
 from daylake.schemas import BRONZE, GOLD, SILVER
 from daylake.session import stage, staged
 from daylake.sinks.serving import Sink, publish_table
-from daylake.sinks.tables import export_parquet, persist, replace_partitions, write_samples
+from daylake.sinks.tables import (
+    drop_day_folders,
+    export_parquet,
+    persist,
+    replace_partitions,
+    write_samples,
+)
 from daylake.sources.locations import read_locations
 from daylake.sources.tables import Table
 
@@ -95,6 +101,15 @@ def _table(
     )
 
 
+@dataclass(frozen=True)
+class RunReports:
+    """What a run checked: both contract reports, and the load report if it loaded."""
+
+    silver: DataFrame
+    gold: DataFrame
+    load: DataFrame | None = None
+
+
 def in_range(df: DataFrame, days: DayRange) -> DataFrame:
     """Rows of a range.  ``ingest_date`` always equals ``observation_date`` in this
     lake; it is the partition column, so naming it prunes the scan."""
@@ -110,13 +125,18 @@ def load_bronze(
     *,
     source: str | Column = "openmeteo",
     ingested_at: datetime | Column | None = None,
-) -> None:
-    """Parsed readings of the range, with coordinates, as bronze days."""
+) -> DataFrame:
+    """Parsed readings of the range, with coordinates, as bronze days.
+
+    Returns the load report (lazily evaluated): pairs of place and day without a
+    reading, and readings of places that the dimension lacks.
+    """
     wanted = readings.where(days.contains("observation_date"))
     rows = bronze_rows(
         readings_for_locations(wanted, locations), source=source, ingested_at=ingested_at
     )
     replace_partitions(rows, lake.bronze)
+    return load_report(wanted, location_date_grid(locations, days.start, days.end))
 
 
 def _rows_of(
@@ -140,10 +160,25 @@ def _gate(rows: DataFrame, suite: Suite, lake: Lake) -> tuple[DataFrame, DataFra
         return rows, report
     if lake.quarantine:
         bad = failing_rows(rows, report, by="ingest_date")
-        export_parquet(bad, f"{lake.quarantine.rstrip('/')}/{suite.name}", ["ingest_date"])
+        export_parquet(bad, _quarantine(lake, suite), ["ingest_date"])
     return passing_rows(rows, report, by="ingest_date"), report
 
 
+def _quarantine(lake: Lake, suite: Suite) -> str:
+    return f"{lake.quarantine.rstrip('/')}/{suite.name}"
+
+
+def _release(report: DataFrame, lake: Lake, suite: Suite) -> None:
+    """Days that pass now leave the quarantine."""
+    if lake.quarantine:
+        drop_day_folders(passing_rows(report, report, by="ingest_date"), _quarantine(lake, suite))
+
+
+def _place_for(on_failure: OnFailure, lake: Lake) -> None:
+    if on_failure == "quarantine" and not lake.quarantine:
+        raise ValueError("failing days need a quarantine folder, or they would be lost")
+
+
 def build_silver(
     spark: SparkSession,
     lake: Lake,
@@ -159,6 +194,7 @@ def build_silver(
     already laid out by day.  ``only`` (a short frame of ``ingest_date``) narrows the
     range to some of its days.  Returns the contract report.
     """
+    _place_for(on_failure, lake)
     silver = silver_features(_rows_of(spark, lake.bronze, days, only))
     passing, report = _gate(silver, SILVER_SUITE, lake)
     persist(
@@ -168,6 +204,7 @@ def build_silver(
         export_partition_by=("ingest_date",),
         keep_layout=True,
     )
+    _release(report, lake, SILVER_SUITE)
     if on_failure == "raise":
         enforce(report)
     return report
@@ -180,13 +217,20 @@ def build_gold(
     *,
     only: DataFrame | None = None,
     on_failure: OnFailure = "raise",
+    failed: DataFrame | None = None,
+    sources: Sequence[str] | None = None,
 ) -> DataFrame:
     """Gold days of the range from silver.
 
     The aggregate is staged once; contract, table and export read the staged rows.
+    Days that ``failed`` (silver's report) are left alone: their silver is that of an
+    earlier run.  ``sources`` as in :func:`gold_summary`.
     """
+    _place_for(on_failure, lake)
     silver = _rows_of(spark, lake.silver, days, only)
-    with staged(gold_summary(silver, listed_sources(silver)), "gold") as gold:
+    if failed is not None:
+        silver = passing_rows(silver, failed, by="ingest_date")
+    with staged(gold_summary(silver, sources), "gold") as gold:
         passing, report = _gate(gold, GOLD_SUITE, lake)
         persist(
             passing,
@@ -194,6 +238,7 @@ def build_gold(
             export_path=_export(lake, "gold"),
             export_partition_by=("ingest_date",),
         )
+    _release(report, lake, GOLD_SUITE)
     if on_failure == "raise":
         enforce(report)
     return report
@@ -213,39 +258,61 @@ def run_window(
     source: str | Column = "openmeteo",
     ingested_at: datetime | Column | None = None,
     on_failure: OnFailure = "raise",
-) -> None:
-    """Bronze (when readings are given), silver, gold and publishing of a range."""
+) -> RunReports:
+    """Bronze (when readings are given), silver, gold and publishing of a range.
+
+    Days that fail a contract go no further: neither is their gold built nor anything
+    of theirs published.  Returns what was checked.
+    """
+    loaded = None
     if readings is not None:
         if locations is None:
             raise ValueError("readings need a location dimension")
-        load_bronze(
+        loaded = load_bronze(
             spark, lake, readings, locations, days, source=source, ingested_at=ingested_at
         )
-    build_silver(spark, lake, days, on_failure=on_failure)
-    build_gold(spark, lake, days, on_failure=on_failure)
+    silver = build_silver(spark, lake, days, on_failure=on_failure)
+    gold = build_gold(spark, lake, days, on_failure=on_failure, failed=silver)
     if lake.targets:
-        publish_table(spark, lake.gold, days, lake.targets, lake.env)
+        publish_table(
+            spark, lake.gold, days, lake.targets, lake.env, failed=silver.unionByName(gold)
+        )
+    return RunReports(silver, gold, loaded)
+
+
+def run_missing(spark: SparkSession, lake: Lake, days: DayRange, **options) -> RunReports | None:
+    """Run the days of a range that bronze lacks, all in one job; None if there are none.
+
+    ``readings`` (with ``locations``) must be given; those of other days are left out.
+    """
+    todo = stage(days_to_run(spark, lake, days), "missing-days")
+    first, last = todo.agg(F.min("observation_date"), F.max("observation_date")).first()
+    if first is None:
+        return None
+    # Distinct days of a range: bounded by the calendar.
+    wanted = options.pop("readings").join(F.broadcast(todo), "observation_date", "left_semi")
+    return run_window(spark, lake, DayRange(first, last), readings=wanted, **options)
 
 
-def run_day(spark: SparkSession, lake: Lake, day: date, **options) -> None:
+def run_day(spark: SparkSession, lake: Lake, day: date, **options) -> RunReports:
     """One day through the lake."""
-    run_window(spark, lake, DayRange(day, day), **options)
+    return run_window(spark, lake, DayRange(day, day), **options)
 
 
 def run_lookback(
     spark: SparkSession, lake: Lake, days: int, *, as_of: date | None = None, **options
-) -> None:
+) -> RunReports:
     """``as_of`` (default today) and the ``days`` days before it."""
-    run_window(spark, lake, DayRange.lookback(days, as_of), **options)
+    return run_window(spark, lake, DayRange.lookback(days, as_of), **options)
 
 
 def run_backfill(
     spark: SparkSession, lake: Lake, request: BackfillRequest, **options
-) -> None:
+) -> RunReports:
     """A checked request; with readings, its location set is read as well."""
     if options.get("readings") is not None and options.get("locations") is None:
         options["locations"] = read_locations(spark, request.location_set)
-    run_window(spark, lake, request.days, **options)
+    return run_window(spark, lake, request.days, **options)
 
 
 def days_to_run(spark: SparkSession, lake: Lake, days: DayRange) -> DataFrame:

@@ -22,7 +22,7 @@ from daylake.functions import (
     precipitation_flag,
 )
 from daylake.operators import alerts, contracts, serving
-from daylake.operators.bronze import bronze_rows
+from daylake.operators.bronze import bronze_rows, load_report
 from daylake.operators.days import (
     BackfillRequest,
     DayRange,
@@ -35,14 +35,14 @@ from daylake.operators.gold import gold_summary
 from daylake.operators.rolling import rolling_windows
 from daylake.operators.shaping import dates_as_text, json_records, serving_shape
 from daylake.operators.silver import silver_features
-from daylake.plans.lake import Lake, run_backfill, run_lookback, run_window
+from daylake.plans.lake import Lake, run_backfill, run_lookback, run_missing, run_window
 from daylake.schemas import GOLD, SILVER
 from daylake.session import stage, working_dir
 from daylake.sinks import files
 from daylake.sinks.serving import DaySink, MonthSink, serving_by_day, serving_by_month
 from daylake.sinks.tables import export_parquet, replace_partitions
 from daylake.sources.locations import read_locations
-from daylake.sources.replies import daily_readings, first_reading
+from daylake.sources.replies import bad_replies, daily_readings, first_reading
 from daylake.sources.tables import Table, day_partition, run_query
 from daylake.streaming.alerts import stream_absence, stream_count_above, stream_error_rate
 from daylake.streaming.refresh import start_refresh
@@ -188,6 +188,55 @@ def parse_first_reading(spark, sf_dir):
     return first_reading(_replies(spark, sf_dir))
 
 
+@_query
+def parse_bad_replies(spark, sf_dir):
+    """Every reply with its problem; three in ten are broken."""
+    share = F.pmod("event_id", F.lit(10))
+    broken = (
+        F.when(share == 0, F.lit("<html>busy</html>"))
+        .when(share == 1, F.lit('{"error":true}'))
+        .when(share == 2, F.lit('{"daily":{"time":["2024-01-01"],"temperature_2m_mean":["n/a"],"precipitation_sum":[1.0]}}'))
+    )
+    replies = _replies(spark, sf_dir).withColumn("body", F.coalesce(broken, F.col("body")))
+    sound = first_reading(replies, bad="skip").select("event_id", F.lit("none").alias("problem"))
+    return bad_replies(replies).select("event_id", "problem").union(sound)
+
+
+@_query
+def bronze_load_report(spark, sf_dir):
+    """Readings against a dimension that lacks some places, on every day of a range."""
+    known = locations(spark, sf_dir).where("latitude >= -80")
+    return load_report(readings(spark, sf_dir), location_date_grid(known, FIRST, LAST))
+
+
+@_query
+def quarantined_and_kept(spark, sf_dir):
+    """Rows by day after a run that puts failing days aside: none is lost."""
+    lake = _loaded_lake(spark, sf_dir)
+    run_window(spark, lake, WHOLE, on_failure="quarantine")
+    aside = spark.read.schema(SILVER).parquet(f"{lake.quarantine}/silver_climate_daily_features")
+    both = lake.silver.read(spark).unionByName(aside)
+    return both.groupBy("ingest_date").agg(F.count("*").alias("n_rows"))
+
+
+@_query
+def missing_days_run(spark, sf_dir):
+    """Bronze after its missing days have been run, all in one job."""
+    root = working_dir(spark, "lake")
+    lake = Lake.at_path(root, quarantine=f"{root}/quarantine")
+    replace_partitions(bronze(spark, sf_dir).where("day(observation_date) % 3 <> 0"), lake.bronze)
+    run_missing(
+        spark,
+        lake,
+        WHOLE,
+        readings=readings(spark, sf_dir).drop("latitude", "longitude"),
+        locations=locations(spark, sf_dir),
+        source=F.col("source"),
+        on_failure="quarantine",
+    )
+    return lake.bronze.read(spark).groupBy("ingest_date").agg(F.count("*").alias("n_rows"))
+
+
 @_query
 def parse_props(spark, sf_dir):
     events = table(spark, sf_dir, "events")
@@ -527,7 +576,8 @@ def missing_partitions(spark, sf_dir):
 
 
 def _loaded_lake(spark: SparkSession, sf_dir: str, **options) -> Lake:
-    lake = Lake.at_path(working_dir(spark, "lake"), **options)
+    root = working_dir(spark, "lake")
+    lake = Lake.at_path(root, quarantine=f"{root}/quarantine", **options)
     replace_partitions(bronze(spark, sf_dir), lake.bronze)
     return lake
 
@@ -640,7 +690,8 @@ def absence_sessions(spark, sf_dir):
 def stream_gold(spark, sf_dir):
     """Gold kept up to date by the stream of bronze files."""
     lake = _loaded_lake(spark, sf_dir)
-    start_refresh(spark, lake, on_failure="quarantine").awaitTermination()
+    state = working_dir(spark, "refresh")
+    start_refresh(spark, lake, state, on_failure="quarantine").awaitTermination()
     return _comparable(lake.gold.read(spark))
 
 
@@ -660,7 +711,8 @@ def _run_stream(spark: SparkSession, result: DataFrame, label: str) -> DataFrame
 
 def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = table(spark, sf_dir, "events").schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    # A pattern, since a file and a folder of files are both found by it.
+    return spark.readStream.schema(schema).parquet(f"{sf_dir}/events.[p]arquet")
 
 
 @_query

@@ -21,13 +21,14 @@ def list_files(spark: SparkSession, root: str, pattern: str = "*.parquet") -> Da
 
 
 def live_files(table: DataFrame) -> DataFrame:
-    """Paths of the files a table reads: footers only, made distinct map-side.
+    """Paths of the files a table's scan reads, from the listing that the scan holds;
+    no file is opened.
 
-    File metadata spells paths percent-encoded, a listing does not.
+    That listing spells paths percent-encoded, a listing of a folder does not.
     """
-    encoded = F.col("_metadata.file_path").alias("path")
-    plain = F.url_decode(F.regexp_replace("path", r"\+", "%2B"))
-    return table.select(encoded).distinct().select(plain.alias("path"))
+    spark = table.sparkSession
+    listed = spark.createDataFrame([(path,) for path in table.inputFiles()], "path string")
+    return listed.select(F.url_decode(F.regexp_replace("path", r"\+", "%2B")).alias("path"))
 
 
 def orphan_files(

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 from daylake.errors import DataSourceUnavailable
 from daylake.functions import month_key
 from daylake.functions.dates import month_number
+from daylake.operators.contracts import passing_rows
 from daylake.operators.days import DayRange
 from daylake.operators.shaping import serving_shape
 from daylake.schemas import SERVING, SERVING_BY_MONTH, conform
@@ -83,12 +84,19 @@ def publish(gold: DataFrame, days: DayRange, targets: Mapping[str, Sink], env: s
 
 
 def publish_table(
-    spark, gold: Table, days: DayRange, targets: Mapping[str, Sink], env: str
+    spark,
+    gold: Table,
+    days: DayRange,
+    targets: Mapping[str, Sink],
+    env: str,
+    *,
+    failed: DataFrame | None = None,
 ) -> bool:
     """Publish a range from the gold table.
 
     A missing gold table is reported and skipped, as is a range without rows; any
-    other error is raised.  Returns whether anything was published.
+    other error is raised.  Days that ``failed`` (a contract report) are left out, since
+    what gold holds of them is old.  Returns whether anything was published.
     """
     try:
         rows = gold.read(spark)
@@ -96,6 +104,8 @@ def publish_table(
         print(f"nothing published: {missing}")
         return False
     window = rows.where(days.contains("ingest_date") & days.contains("observation_date"))
+    if failed is not None:
+        window = passing_rows(window, failed, by="ingest_date")
     if window.isEmpty():
         return False
     publish(window, days, targets, env)

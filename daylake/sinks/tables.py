@@ -93,13 +93,18 @@ def replace_partitions(df: DataFrame, table: Table, *, keep_layout: bool = False
     )
 
 
-def export_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """Parquet copy of ``df``; with partition columns only their days are replaced."""
+def export_parquet(
+    df: DataFrame, path: str, partition_by: Sequence[str] = (), *, keep_layout: bool = False
+) -> None:
+    """Parquet copy of ``df``; with partition columns only their days are replaced.
+
+    ``keep_layout`` as in :func:`replace_partitions`.
+    """
     if not partition_by:
         df.write.mode("overwrite").parquet(path)
         return
     (
-        lay_out(df, partition_by)
+        (df if keep_layout else lay_out(df, partition_by))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition_by)
@@ -122,7 +127,7 @@ def persist(
     """
     replace_partitions(df, table, keep_layout=keep_layout)
     if export_path:
-        export_parquet(df, export_path, export_partition_by)
+        export_parquet(df, export_path, export_partition_by, keep_layout=keep_layout)
 
 
 def write_samples(samples: DataFrame, path: str) -> None:
@@ -133,3 +138,18 @@ def write_samples(samples: DataFrame, path: str) -> None:
         .partitionBy("suite", "partition_key")
         .parquet(path)
     )
+
+
+def drop_day_folders(df: DataFrame, path: str, column: str = "ingest_date") -> None:
+    """Remove the folders ``column=day`` below ``path`` for the days in ``df``.
+
+    Days are bounded by the calendar, so the driver may hold them.  Missing folders
+    are fine.
+    """
+    context = df.sparkSession.sparkContext
+    root = context._jvm.org.apache.hadoop.fs.Path(path)
+    store = root.getFileSystem(context._jsc.hadoopConfiguration())
+    if not store.exists(root):
+        return
+    for row in df.select(column).distinct().collect():
+        store.delete(context._jvm.org.apache.hadoop.fs.Path(root, f"{column}={row[0]}"), True)

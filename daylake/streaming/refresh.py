@@ -8,7 +8,6 @@ from pyspark.sql.streaming import StreamingQuery
 from daylake.operators.days import DayRange
 from daylake.plans.lake import Lake, OnFailure, build_gold, build_silver
 from daylake.schemas import BRONZE
-from daylake.session import working_dir
 
 
 def refresh_days(
@@ -25,14 +24,14 @@ def refresh_days(
     span = DayRange(first, last)
     # Distinct dates: bounded by the calendar, not by the data.
     only = F.broadcast(touched.select("ingest_date").distinct())
-    build_silver(spark, lake, span, only=only, on_failure=on_failure)
-    build_gold(spark, lake, span, only=only, on_failure=on_failure)
+    silver = build_silver(spark, lake, span, only=only, on_failure=on_failure)
+    build_gold(spark, lake, span, only=only, on_failure=on_failure, failed=silver)
 
 
 def start_refresh(
     spark: SparkSession,
     lake: Lake,
-    checkpoint: str | None = None,
+    checkpoint: str,
     *,
     trigger: dict | None = None,
     max_files_per_trigger: int | None = None,
@@ -40,8 +39,8 @@ def start_refresh(
 ) -> StreamingQuery:
     """Watch the bronze location; by default process what is there and stop.
 
-    Only the day of the new rows is read (the partition column).  Pass a fixed
-    ``checkpoint`` to continue from run to run.
+    Only the day of the new rows is read (the partition column).  A fixed
+    ``checkpoint`` lets a later run go on where this one ended.
     """
     if not lake.bronze.path:
         raise ValueError("the bronze table needs a location to be watched")
@@ -55,7 +54,7 @@ def start_refresh(
 
     return (
         arrivals.writeStream.foreachBatch(on_batch)
-        .option("checkpointLocation", checkpoint or working_dir(spark, "refresh"))
+        .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
         .start()
     )

@@ -98,6 +98,33 @@ def test_quarantine_keeps_the_failing_rows_and_goes_on(spark, tmp_path):
     assert rows(bad, "location_id") == [("A",), ("B",)]
 
 
+def test_quarantine_needs_a_folder(spark, tmp_path):
+    lake = _lake(tmp_path)
+    replace_partitions(bronze_frame(spark, [("A", 1, 99.0, 1.0)]), lake.bronze)
+    with pytest.raises(ValueError, match="quarantine folder"):
+        run_window(spark, lake, WEEK, on_failure="quarantine")
+
+
+def test_failing_and_repaired_days(spark, tmp_path):
+    """A failing day keeps its old rows, goes no further, and leaves when repaired."""
+    sink = DaySink(serving_by_day(path=str(tmp_path / "by-day")))
+    lake = _lake(tmp_path, quarantine=str(tmp_path / "bad"), targets={"default": sink})
+    folder = tmp_path / "bad" / "silver_climate_daily_features" / "ingest_date=2024-01-02"
+    seen = []
+    for warm in (5.0, 99.0, 6.0):
+        days = [("A", 1, warm if warm < 50 else 1.0, 1.0), ("A", 2, warm, 1.0)]
+        replace_partitions(bronze_frame(spark, days), lake.bronze)
+        reports = run_window(spark, lake, WEEK, on_failure="quarantine")
+        failed = rows(reports.silver.where("not passed").select("partition_key").distinct())
+        shown = {r["observation_date"]: r["avg_temp_c"] for r in sink.table.read(spark).collect()}
+        seen.append((failed, shown[day(1)], shown[day(2)], folder.exists()))
+    assert seen == [
+        ([], 5.0, 5.0, False),
+        ([("2024-01-02",)], 1.0, 5.0, True),
+        ([], 6.0, 6.0, False),
+    ]
+
+
 def test_gold_contract_gates_gold(spark, tmp_path):
     lake = _lake(tmp_path)
     replace_partitions(
@@ -186,4 +213,4 @@ def test_stream_refresh_equals_batch(spark, tmp_path):
 def test_stream_needs_a_location():
     lake = Lake.in_catalog()
     with pytest.raises(ValueError, match="location"):
-        start_refresh(None, lake)
+        start_refresh(None, lake, "unused")

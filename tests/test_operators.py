@@ -13,7 +13,7 @@ from daylake.operators.days import (
     retention_tiers,
     safety_cutoff,
 )
-from daylake.operators.gold import gold_summary, listed_sources
+from daylake.operators.gold import gold_summary
 from daylake.operators.rolling import rolling_windows
 from daylake.operators.shaping import json_records, serving_shape
 from daylake.operators.silver import silver_features
@@ -52,7 +52,7 @@ def test_gold_groups(spark, listed):
         ],
     )
     silver = silver_features(bronze)
-    sources = listed_sources(silver) if listed else None
+    sources = ["s1", "s2", "s3"] if listed else None
     gold = gold_summary(silver, sources)
     assert [(f.name, f.dataType) for f in gold.schema] == [(f.name, f.dataType) for f in GOLD]
     assert rows(gold) == [
@@ -68,10 +68,15 @@ def test_gold_rejects_an_unlisted_source(spark):
         gold_summary(silver, ["old"]).collect()
 
 
-def test_listed_sources_is_bounded(spark):
-    silver = silver_features(bronze_frame(spark, [("A", 1, 1.0, 1.0, f"s{i}") for i in range(5)]))
-    assert listed_sources(silver, 4) is None
-    assert sorted(listed_sources(silver, 5)) == [f"s{i}" for i in range(5)]
+def test_gold_has_one_plan_whatever_the_number_of_sources(spark):
+    plans = set()
+    for many in (5, 500):
+        rows_ = [("A", 1, 1.0, 1.0, f"s{i:03d}") for i in range(many)]
+        gold = gold_summary(silver_features(bronze_frame(spark, rows_)))
+        assert rows(gold, "source", "total_prcp_mm") == [("s000", float(many))]
+        plan = gold._jdf.queryExecution().executedPlan().toString()
+        plans.add((plan.count("Exchange"), plan.count("HashAggregate"), plan.count("Sort")))
+    assert len(plans) == 1
 
 
 def test_rolling_frames_count_rows_not_days(spark):

@@ -3,12 +3,14 @@
 import pytest
 
 import __spark_entry__ as driver
+from daylake.oracle import all_oracles
+from daylake.registry import all_queries
 from oracle_compare import SPARK_TO_DUCK, connect, duck_rows, duck_types, spark_rows
 
 # Row-at-a-time or batched Python, and joins that pair everything with everything.
 UNWANTED = ("Python", "ArrowEval", "InPandas", "CartesianProduct", "BroadcastNestedLoopJoin")
 
-QUERIES, ORACLES = driver.queries(), driver.oracle_sql()
+QUERIES, ORACLES = all_queries(), all_oracles()
 
 
 @pytest.fixture(scope="module")

@@ -112,3 +112,25 @@ def test_table_checks_its_columns():
         Table(BRONZE, ("month",), path="x")
     with pytest.raises(ValueError):
         Table(BRONZE, ("ingest_date",))
+
+
+def test_broken_replies_are_reported_and_stop_the_readers(spark):
+    from daylake.sources.replies import bad_replies, daily_readings, first_reading
+
+    sound = '{"daily":{"time":["2024-01-01"],"temperature_2m_mean":[1.5],"precipitation_sum":[null]}}'
+    bodies = [
+        sound,
+        "<html>",
+        '{"error":true}',
+        None,
+        sound.replace("1.5", '"n/a"'),
+        sound.replace("[1.5]", "[1.5,2]"),
+        sound.replace("2024-01-01", "someday"),
+    ]
+    replies = spark.createDataFrame(list(enumerate(bodies)), "location_id int, body string")
+    bad = {r["location_id"]: (r["body"], r["problem"]) for r in bad_replies(replies).collect()}
+    assert sorted(bad) == [1, 2, 3, 4, 5, 6] and bad[1] == ("<html>", "not readable")
+    for reader in (daily_readings, first_reading):
+        assert reader(replies, bad="skip").count() == 1
+        with pytest.raises(Exception, match="malformed reply"):
+            reader(replies).collect()
