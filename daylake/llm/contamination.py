@@ -57,7 +57,7 @@ def build_index(docs: DataFrame, vocabulary: set[bytes], *, slack: int) -> DataF
     numbers = docs.sparkSession.sparkContext.broadcast(
         {word: i for i, word in enumerate(sorted(vocabulary))}
     )
-    gap = slack + 1
+    gap = 2 * slack + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         get = numbers.value.get
@@ -143,7 +143,7 @@ def _candidates(
 def _look_up(segment: dict, windows: Windows, slack: int) -> Iterator[tuple]:
     """Exact spans, items and proximity items of each document of a segment."""
     sizes = np.array(segment["n_words"], np.int64)
-    gap = slack + 1
+    gap = 2 * slack + 1
     starts = np.cumsum(sizes + gap) - (sizes + gap)
     length = int((sizes + gap).sum())
     terms = np.array(segment["terms"], np.int32)
@@ -152,30 +152,33 @@ def _look_up(segment: dict, windows: Windows, slack: int) -> Iterator[tuple]:
     run = np.cumsum(steps)
     firsts = np.cumsum(counts) - counts
     positions = run - np.repeat(run[firsts] - steps[firsts], counts) if len(terms) else run
-    # Which list, if any, holds a position; ``slack`` places more at either end.
-    stream = np.full(length + 2 * slack, -1, np.int32)
-    stream[positions + slack] = np.repeat(terms, counts)
+    # Which list, if any, holds a position; a window may begin ``slack`` places before
+    # the first word and its terms be as many away from their places.
+    pad = 2 * slack
+    stream = np.full(length + 2 * pad, -1, np.int32)
+    stream[positions + pad] = np.repeat(terms, counts)
     edge = np.zeros(length + 1, np.int32)
     exact: list[np.ndarray] = []
     near: list[np.ndarray] = []
     n_items = max(1, len(windows.items))
     size = windows.term.shape[1]
     for window, start in _candidates(windows, terms, counts, positions) if len(terms) else ():
-        inside = (start >= 0) & (start + windows.length[window] <= length)
+        inside = (start >= -slack) & (start + windows.length[window] <= length + slack)
         window, start = window[inside], start[inside]
         w, s, missed = window, start, np.zeros(len(window), bool)
         for k in range(1, size):
             place = s + windows.offset[w, k]
             term = windows.term[w, k]
-            hit = stream[place + slack] == term
+            hit = stream[place + pad] == term
             if slack:
                 close = hit.copy()
                 for d in range(2 * slack + 1):
-                    close |= stream[place + d] == term
+                    close |= stream[place + slack + d] == term
                 missed, w, s = (missed | ~hit)[close], w[close], s[close]
             else:
                 w, s, missed = w[hit], s[hit], missed[hit]
-        doc = np.searchsorted(starts, s, side="right") - 1
+        # The rarest term is at its place, so it tells the document.
+        doc = np.searchsorted(starts, s + windows.offset[w, 0], side="right") - 1
         near.append((doc * n_items + windows.item[w])[missed])
         doc, w, s = doc[~missed], w[~missed], s[~missed]
         np.add.at(edge, s, 1)

@@ -130,6 +130,26 @@ def test_proximity_matches_are_not_exact_ones(spark):
     assert rows[2]["items"] == [7] and rows[2]["near_items"] == []
 
 
+def test_proximity_matches_stay_in_their_document(spark):
+    words = [f"w{i}" for i in range(11)]
+    across = [*words[:10], "x", "x", "last"]
+    items = spark.createDataFrame(
+        [(7, " ".join(["rah", "rah", *words])), (8, " ".join(across))], "item_id long, text string"
+    )
+    short = " ".join(["rah", *words])  # one word less, at the very beginning
+    rows = [
+        (1, short),
+        (2, "nothing"),
+        (3, short),
+        (4, " ".join(across[:6])),
+        (5, " ".join([*across[6:10], "x", "last"])),
+        (6, " ".join([*reversed(across[:11])])),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    found = {r["doc_id"]: r["near_items"] for r in contamination(docs, items, slack=1).collect()}
+    assert found == {1: [7], 2: [], 3: [7], 4: [], 5: [], 6: []}
+
+
 def test_classifiers_on_odd_rows(spark, edges, labels):
     for fit, score in ((fit_quality_model, score_quality), (fit_toxicity_model, score_toxicity)):
         rows = score(edges, fit(edges, labels)).collect()
