@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import DateType
 
@@ -20,12 +22,13 @@ def dates_as_text(df: DataFrame) -> DataFrame:
     return df.select([iso_date(c).alias(c) if c in dates else F.col(c) for c in df.columns])
 
 
-def json_records(df: DataFrame) -> DataFrame:
-    """One JSON object per row in column ``value``, ready for ``write.text``.
+def json_records(df: DataFrame, beside: Sequence[str] = ()) -> DataFrame:
+    """One JSON object per row in column ``value``, ready for ``write.text``; columns
+    ``beside`` it may serve as partitions.
 
     Missing values stay in the record as JSON nulls.
     """
     record = F.struct(*dates_as_text(df).columns)
     return dates_as_text(df).select(
-        F.to_json(record, {"ignoreNullFields": "false"}).alias("value")
+        F.to_json(record, {"ignoreNullFields": "false"}).alias("value"), *beside
     )

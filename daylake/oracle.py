@@ -179,6 +179,25 @@ def _watermark(where: str = "TRUE") -> str:
       FROM events WHERE {where})"""
 
 
+WHOLE = """whole AS (SELECT CAST(unnest(generate_series(min(observation_date),
+  max(observation_date), INTERVAL 1 DAY)) AS DATE) AS observation_date FROM readings)"""
+
+FLOATS = ", ".join(
+    f"round(CAST(CAST({c} AS FLOAT) AS DOUBLE), 3) AS {c}"
+    for c in ("avg_temp_c", "total_prcp_mm", "avg_hdd18", "avg_cdd18")
+)
+
+# All gold after one day has been published again.
+REVISED = f"""{GOLD}, revised AS (
+  SELECT * FROM gold WHERE observation_date <> DATE '2024-01-05'
+  UNION ALL
+  SELECT * REPLACE (total_prcp_mm + 1 AS total_prcp_mm) FROM gold
+  WHERE observation_date = DATE '2024-01-05' AND source <> 'click')"""
+
+RECORD = f"""region_id, strftime(observation_date, '%Y-%m-%d') AS observation_date,
+  strftime(ingest_date, '%Y-%m-%d') AS ingest_date, source, {MEASURES}"""
+
+
 SPINE = """spine AS (SELECT CAST(d AS DATE) AS observation_date FROM
   range(DATE '2024-01-01', DATE '2024-02-06', INTERVAL 1 DAY) t(d))"""
 
@@ -222,11 +241,11 @@ def all_oracles() -> dict[str, str]:
         "locations_csv": f"""WITH {READINGS}
             SELECT DISTINCT location_id, latitude, longitude FROM readings""",
         "bronze_observations": f"WITH {READINGS} SELECT {BRONZE_COLUMNS} FROM readings",
-        "location_date_grid_counts": f"""WITH {READINGS}, {SPINE}, places AS (
+        "location_date_grid_counts": f"""WITH {READINGS}, {WHOLE}, places AS (
             SELECT DISTINCT location_id, latitude, longitude FROM readings)
             SELECT p.location_id, s.observation_date, p.latitude, p.longitude,
                    count(r.event_id) AS readings
-            FROM places p JOIN spine s ON s.observation_date <= DATE '2024-01-30'
+            FROM places p CROSS JOIN whole s
             LEFT JOIN readings r ON r.location_id = p.location_id
                  AND r.observation_date = s.observation_date
             GROUP BY ALL""",
@@ -273,12 +292,9 @@ def all_oracles() -> dict[str, str]:
             ORDER BY observation_date DESC, region_id LIMIT 5""",
         "serving_rows": f"""{gold} region_id, source, observation_date, ingest_date, {MEASURES}
             FROM gold""",
-        "serving_rows_float32": f"""{gold} region_id, observation_date, had_precip,
-            round(CAST(CAST(total_prcp_mm AS FLOAT) AS DOUBLE), 1) AS total_prcp_mm FROM gold""",
-        "json_record_rows": f"""{gold} region_id,
-            strftime(observation_date, '%Y-%m-%d') AS observation_date,
-            strftime(ingest_date, '%Y-%m-%d') AS ingest_date, source, {_r('total_prcp_mm')},
-            had_precip FROM gold""",
+        "serving_rows_float32": f"""{gold} region_id, source, observation_date, ingest_date,
+            had_precip, {FLOATS} FROM gold""",
+        "json_record_rows": f"{gold} {RECORD} FROM gold",
         "dates_as_text_rows": f"""{gold} region_id,
             strftime(observation_date, '%Y-%m-%d') AS observation_date,
             strftime(ingest_date, '%Y-%m-%d') AS ingest_date, {_r('avg_temp_c')} FROM gold""",
@@ -309,6 +325,14 @@ def all_oracles() -> dict[str, str]:
         "publish_delete_insert": _published(
             "CAST(year(observation_date) * 100 + month(observation_date) AS INTEGER) AS month"
         ),
+        "publish_month_catalog": _published(
+            "CAST(year(observation_date) * 100 + month(observation_date) AS INTEGER) AS month"
+        ),
+        "publish_float32": f"""WITH {REVISED} SELECT region_id, source, observation_date,
+            ingest_date, had_precip, {FLOATS} FROM revised""",
+        "publish_json_records": f"WITH {REVISED} SELECT {RECORD} FROM revised",
+        "silver_export": f"WITH {PASSING} SELECT {SILVER_SHOWN} FROM passing",
+        "days_without_a_table": f"WITH {READINGS}, {WHOLE} SELECT observation_date FROM whole",
         "missing_partitions": f"""WITH {READINGS}, {SPINE} SELECT observation_date FROM spine
             WHERE observation_date NOT IN (SELECT observation_date FROM readings)""",
         "range_run": f"""WITH {PASSING}
@@ -326,7 +350,8 @@ def all_oracles() -> dict[str, str]:
                    THEN 'cold' ELSE 'standard' END AS tier
             FROM days, layers""",
         "orphan_files": f"""WITH {READINGS} SELECT DISTINCT observation_date AS orphan_day
-            FROM readings WHERE observation_date > DATE '2024-01-20'""",
+            FROM readings WHERE observation_date > DATE '2024-01-20'
+              AND observation_date <= DATE '2024-01-25'""",
         "alert_error_rate": ERROR_RATE,
         "alert_threshold": f"""SELECT * FROM ({_buckets(3600, key='event_type,')})
             WHERE events > 5""",

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -25,6 +25,7 @@ from daylake.operators import alerts, contracts, serving
 from daylake.operators.bronze import bronze_rows, load_report
 from daylake.operators.days import (
     BackfillRequest,
+    SAFETY_HORIZON,
     DayRange,
     date_spine,
     location_date_grid,
@@ -35,22 +36,31 @@ from daylake.operators.gold import gold_summary
 from daylake.operators.rolling import rolling_windows
 from daylake.operators.shaping import dates_as_text, json_records, serving_shape
 from daylake.operators.silver import silver_features
-from daylake.plans.lake import Lake, run_backfill, run_lookback, run_missing, run_window
+from daylake.plans.lake import (
+    TABLE_NAMES,
+    Lake,
+    build_silver,
+    days_to_run,
+    in_range,
+    run_backfill,
+    run_lookback,
+    run_missing,
+    run_window,
+)
 from daylake.schemas import GOLD, SILVER
 from daylake.session import stage, working_dir
 from daylake.sinks import files
-from daylake.sinks.serving import DaySink, MonthSink, serving_by_day, serving_by_month
+from daylake.sinks.serving import DaySink, JsonSink, MonthSink, serving_by_day, serving_by_month
 from daylake.sinks.tables import export_parquet, replace_partitions
 from daylake.sources.locations import read_locations
 from daylake.sources.replies import bad_replies, daily_readings, first_reading
-from daylake.sources.tables import Table, day_partition, run_query
+from daylake.sources.tables import Table, read_day, run_query
 from daylake.streaming.alerts import stream_absence, stream_count_above, stream_error_rate
 from daylake.streaming.refresh import start_refresh
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 FIRST, LAST = date(2024, 1, 1), date(2024, 1, 30)
-WHOLE = DayRange(FIRST, LAST)
 DAY = date(2024, 1, 5)
 LOADED_AT = "2024-02-01 00:00:00"
 REGION = "LOC7"
@@ -128,6 +138,20 @@ def gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold_summary(silver(spark, sf_dir))
 
 
+def whole_range(spark: SparkSession, sf_dir: str) -> DayRange:
+    """From the first to the last day that has a reading."""
+    days = readings(spark, sf_dir).agg(F.min("observation_date"), F.max("observation_date"))
+    first, last = days.first()
+    return DayRange(first or FIRST, last or first or FIRST)
+
+
+def stored_gold(spark: SparkSession, sf_dir: str, days: DayRange | None = None) -> DataFrame:
+    """Gold as a stored table, by day; with ``days`` only their partitions are read."""
+    target = Lake.at_path(working_dir(spark, "lake")).gold
+    replace_partitions(gold(spark, sf_dir), target)
+    return target.read(spark) if days is None else in_range(target.read(spark), days)
+
+
 def _comparable(df: DataFrame, digits: int = 7) -> DataFrame:
     """Computed doubles rounded once, and instants as plain timestamps."""
     exact = {"tavg_c", "prcp_mm", "latitude", "longitude", "hdd18", "cdd18", "gdd10_30"}
@@ -151,7 +175,9 @@ def _table_at(spark: SparkSession, label: str, schema, **options) -> Table:
 
 @_query
 def partition_scan(spark, sf_dir):
-    return _comparable(day_partition(bronze(spark, sf_dir), DAY))
+    stored = _loaded_lake(spark, sf_dir).bronze
+    rows = read_day(spark, stored, DAY, "ingest_date")
+    return _comparable(stored.read(spark).limit(0) if rows is None else rows)
 
 
 @_query
@@ -213,7 +239,7 @@ def bronze_load_report(spark, sf_dir):
 def quarantined_and_kept(spark, sf_dir):
     """Rows by day after a run that puts failing days aside: none is lost."""
     lake = _loaded_lake(spark, sf_dir)
-    run_window(spark, lake, WHOLE, on_failure="quarantine")
+    run_window(spark, lake, whole_range(spark, sf_dir), on_failure="quarantine")
     aside = spark.read.schema(SILVER).parquet(f"{lake.quarantine}/silver_climate_daily_features")
     both = lake.silver.read(spark).unionByName(aside)
     return both.groupBy("ingest_date").agg(F.count("*").alias("n_rows"))
@@ -228,7 +254,7 @@ def missing_days_run(spark, sf_dir):
     run_missing(
         spark,
         lake,
-        WHOLE,
+        whole_range(spark, sf_dir),
         readings=readings(spark, sf_dir).drop("latitude", "longitude"),
         locations=locations(spark, sf_dir),
         source=F.col("source"),
@@ -257,7 +283,8 @@ def bronze_observations(spark, sf_dir):
 
 @_query
 def location_date_grid_counts(spark, sf_dir):
-    grid = location_date_grid(locations(spark, sf_dir), FIRST, LAST)
+    days = whole_range(spark, sf_dir)
+    grid = location_date_grid(locations(spark, sf_dir), days.start, days.end)
     counts = (
         bronze(spark, sf_dir)
         .groupBy("location_id", "observation_date")
@@ -386,12 +413,12 @@ def rolling_revenue_by_customer(spark, sf_dir):
 
 @_query
 def region_snapshot(spark, sf_dir):
-    return _comparable(serving.region_snapshot(gold(spark, sf_dir), DAY))
+    return _comparable(serving.region_snapshot(stored_gold(spark, sf_dir, DayRange(DAY, DAY)), DAY))
 
 
 @_query
 def snapshot_totals(spark, sf_dir):
-    return _comparable(serving.snapshot_totals(gold(spark, sf_dir), DAY))
+    return _comparable(serving.snapshot_totals(stored_gold(spark, sf_dir, DayRange(DAY, DAY)), DAY))
 
 
 @_query
@@ -401,25 +428,26 @@ def all_days_totals(spark, sf_dir):
 
 @_query
 def region_history(spark, sf_dir):
-    return _comparable(serving.region_history(gold(spark, sf_dir), REGION, as_of=LAST))
+    stored = stored_gold(spark, sf_dir, DayRange.lookback(30, LAST))
+    return _comparable(serving.region_history(stored, REGION, as_of=LAST))
 
 
 @_query
 def latest_first(spark, sf_dir):
-    rows = serving.region_history(
-        gold(spark, sf_dir), REGION, 10, as_of=date(2024, 1, 20), newest_first=True
-    )
+    as_of = date(2024, 1, 20)
+    stored = stored_gold(spark, sf_dir, DayRange.lookback(10, as_of))
+    rows = serving.region_history(stored, REGION, 10, as_of=as_of, newest_first=True)
     return _comparable(rows)
 
 
 @_query
 def available_dates(spark, sf_dir):
-    return serving.available_dates(gold(spark, sf_dir), 10)
+    return serving.available_dates(stored_gold(spark, sf_dir), 10)
 
 
 @_query
 def region_list(spark, sf_dir):
-    return serving.regions(gold(spark, sf_dir))
+    return serving.regions(stored_gold(spark, sf_dir))
 
 
 @_query
@@ -436,24 +464,30 @@ def serving_rows(spark, sf_dir):
 
 @_query
 def serving_rows_float32(spark, sf_dir):
-    rows = serving_shape(gold(spark, sf_dir), float32=True)
-    # Shown to a tenth: the nearest float is the same whatever the summing order.
+    return _shown_floats(serving_shape(gold(spark, sf_dir), float32=True))
+
+
+def _shown_floats(rows: DataFrame) -> DataFrame:
+    """Floats as doubles, to a thousandth: a sum's last digits depend on its order."""
     return rows.select(
-        "region_id",
-        "observation_date",
-        F.col("had_precip"),
-        F.round(F.col("total_prcp_mm").cast("double"), 1).alias("total_prcp_mm"),
+        [
+            F.round(F.col(name).cast("double"), 3).alias(name) if kind == "float" else F.col(name)
+            for name, kind in rows.dtypes
+        ]
     )
 
 
+_RECORD = (
+    "region_id string, observation_date string, ingest_date string, source string, "
+    "avg_temp_c double, total_prcp_mm double, had_precip string, avg_hdd18 double, "
+    "avg_cdd18 double"
+)
+
+
 @_query
 def json_record_rows(spark, sf_dir):
-    rows = gold(spark, sf_dir)
-    kinds = "region_id string, observation_date string, ingest_date string, source string, "
-    parsed = json_records(rows).select(
-        F.from_json("value", kinds + "total_prcp_mm double, had_precip string").alias("r")
-    )
-    return _comparable(parsed.select("r.*"))
+    records = json_records(gold(spark, sf_dir))
+    return _comparable(records.select(F.from_json("value", _RECORD).alias("r")).select("r.*"))
 
 
 @_query
@@ -546,13 +580,51 @@ def export_partitioned_parquet(spark, sf_dir):
     return _comparable(Table(GOLD, ("ingest_date",), path=path).read(spark))
 
 
-def _publish_twice(spark: SparkSession, sf_dir: str, sink) -> DataFrame:
+@_query
+def silver_export(spark, sf_dir):
+    """The exported copy of silver, from a run that also writes samples."""
+    root = working_dir(spark, "side")
+    lake = _loaded_lake(spark, sf_dir, exports=f"{root}/exports", samples=f"{root}/samples")
+    build_silver(spark, lake, whole_range(spark, sf_dir), on_failure="quarantine")
+    return _comparable(
+        spark.read.schema(SILVER).parquet(f"{lake.exports}/{TABLE_NAMES['silver']}")
+    )
+
+
+def _publish_both(spark: SparkSession, sf_dir: str, sink) -> None:
     rows = stage(gold(spark, sf_dir), "gold")
-    sink.publish(rows, WHOLE)
+    sink.publish(rows, whole_range(spark, sf_dir))
     sink.publish(_revised_day(rows, "total_prcp_mm"), DayRange(DAY, DAY))
+
+
+def _publish_twice(spark: SparkSession, sf_dir: str, sink) -> DataFrame:
+    _publish_both(spark, sf_dir, sink)
     return sink.table.read(spark)
 
 
+@_query
+def publish_month_catalog(spark, sf_dir):
+    """Days replaced in a catalog table kept by month."""
+    name = f"q_{uuid.uuid4().hex}.serving"
+    sink = MonthSink(serving_by_month(name, working_dir(spark, "serving-catalog")))
+    return _comparable(_publish_twice(spark, sf_dir, sink))
+
+
+@_query
+def publish_float32(spark, sf_dir):
+    sink = DaySink(serving_by_day(path=working_dir(spark, "serving-float"), float32=True))
+    return _shown_floats(_publish_twice(spark, sf_dir, sink))
+
+
+@_query
+def publish_json_records(spark, sf_dir):
+    """Published JSON files, all fields read back."""
+    sink = JsonSink(working_dir(spark, "serving-json"))
+    _publish_both(spark, sf_dir, sink)
+    lines = spark.read.schema("value string, observation_date date").text(sink.path)
+    return _comparable(lines.select(F.from_json("value", _RECORD).alias("r")).select("r.*"))
+
+
 @_query
 def publish_truncate_day(spark, sf_dir):
     sink = DaySink(serving_by_day(path=working_dir(spark, "serving-day")))
@@ -575,6 +647,13 @@ def missing_partitions(spark, sf_dir):
     return missing_days(bronze(spark, sf_dir), FIRST, date(2024, 2, 5))
 
 
+@_query
+def days_without_a_table(spark, sf_dir):
+    """All days of the readings are still to run when bronze does not exist."""
+    lake = Lake.at_path(working_dir(spark, "no-lake"))
+    return days_to_run(spark, lake, whole_range(spark, sf_dir))
+
+
 def _loaded_lake(spark: SparkSession, sf_dir: str, **options) -> Lake:
     root = working_dir(spark, "lake")
     lake = Lake.at_path(root, quarantine=f"{root}/quarantine", **options)
@@ -592,7 +671,7 @@ def range_run(spark, sf_dir):
     run_window(
         spark,
         lake,
-        WHOLE,
+        whole_range(spark, sf_dir),
         readings=rows.drop("latitude", "longitude"),
         locations=locations(spark, sf_dir),
         source=F.col("source"),
@@ -626,18 +705,24 @@ def retention_tier(spark, sf_dir):
 
 @_query
 def orphan_files(spark, sf_dir):
-    """Days written below a catalog table's location without being registered."""
+    """Days written below a catalog table's location without being registered, at a time
+    when the later ones are still too young to be reported."""
     root = working_dir(spark, "orphans")
     registered = Lake.in_catalog(env=f"q-{uuid.uuid4().hex}", root=root).silver
     rows = silver(spark, sf_dir)
     split = F.lit(date(2024, 1, 20))
     replace_partitions(rows.where(F.col("ingest_date") <= split), registered)
     stray = Table(SILVER, ("ingest_date",), path=registered.path)
-    replace_partitions(rows.where(F.col("ingest_date") > split), stray)
+    later = F.lit(date(2024, 1, 25))
+    unregistered = rows.where(F.col("ingest_date") > split)
+    replace_partitions(unregistered.where(F.col("ingest_date") <= later), stray)
+    listed = files.list_files(spark, registered.path)
+    newest = listed.agg(F.max("modificationTime")).first()[0] or datetime(2024, 1, 1)
+    replace_partitions(unregistered.where(F.col("ingest_date") > later), stray)
     found = files.orphan_files(
         files.list_files(spark, registered.path),
         files.live_files(spark.read.table(registered.name)),
-        datetime(2100, 1, 1),
+        newest + SAFETY_HORIZON + timedelta(milliseconds=1),
     )
     day = F.regexp_extract("path", "ingest_date=([0-9-]+)/", 1)
     return found.select(F.to_date(day).alias("orphan_day")).distinct()

@@ -13,9 +13,9 @@ from daylake.functions import month_key
 from daylake.functions.dates import month_number
 from daylake.operators.contracts import passing_rows
 from daylake.operators.days import DayRange
-from daylake.operators.shaping import serving_shape
-from daylake.schemas import SERVING, SERVING_BY_MONTH, conform
-from daylake.sinks.tables import ensure_table, replace_partitions
+from daylake.operators.shaping import json_records, serving_shape
+from daylake.schemas import SERVING, SERVING_BY_MONTH, SERVING_FLOAT32, conform
+from daylake.sinks.tables import ensure_table, lay_out, replace_partitions
 from daylake.sources.tables import Table
 
 
@@ -25,9 +25,13 @@ class Sink(Protocol):
     def publish(self, gold: DataFrame, days: DayRange) -> None: ...
 
 
-def serving_by_day(name: str | None = None, path: str | None = None) -> Table:
-    """Serving table partitioned by day, clustered by region."""
-    return Table(SERVING, ("observation_date",), name, path, sort_by=("region_id",))
+def serving_by_day(
+    name: str | None = None, path: str | None = None, *, float32: bool = False
+) -> Table:
+    """Serving table partitioned by day, clustered by region; measures as 32-bit floats
+    on request."""
+    schema = SERVING_FLOAT32 if float32 else SERVING
+    return Table(schema, ("observation_date",), name, path, sort_by=("region_id",))
 
 
 def serving_by_month(name: str | None = None, path: str | None = None) -> Table:
@@ -76,6 +80,23 @@ class MonthSink:
         replace_partitions(fresh, self.table)
 
 
+@dataclass(frozen=True)
+class JsonSink:
+    """JSON records in one folder a day; published days are replaced, others stay."""
+
+    path: str
+
+    def publish(self, gold: DataFrame, days: DayRange) -> None:
+        rows = serving_shape(gold.where(days.contains("observation_date")))
+        (
+            lay_out(json_records(rows, ["observation_date"]), ["observation_date"])
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("observation_date")
+            .text(self.path)
+        )
+
+
 def publish(gold: DataFrame, days: DayRange, targets: Mapping[str, Sink], env: str) -> Sink:
     """Publish to the target of ``env``, or to ``targets['default']``."""
     sink = targets.get(env.lower()) or targets["default"]

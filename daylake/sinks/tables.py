@@ -43,7 +43,8 @@ def ensure_table(spark: SparkSession, table: Table) -> None:
         statement.append("OPTIONS (partitionOverwriteMode 'dynamic')")
     statement.append(f"PARTITIONED BY ({parts})")
     if table.path:
-        statement.append(f"LOCATION '{table.path}'")
+        quoted = table.path.replace("\\", "\\\\").replace("'", "\\'")
+        statement.append(f"LOCATION '{quoted}'")
     spark.sql(" ".join(statement))
 
 

@@ -43,6 +43,14 @@ def test_day_filters_prune_partitions(spark, lake):
     assert "EqualTo(observation_date,2024-01-02)" in plan(pushed)
 
 
+@pytest.mark.parametrize(
+    "name", ["partition_scan", "region_snapshot", "region_history", "latest_first"]
+)
+def test_registered_scans_prune_partitions(spark, sf_dir, name):
+    text = plan(registry.all_queries()[name](spark, sf_dir))
+    assert "PartitionFilters: [isnotnull(ingest_date" in text
+
+
 def test_silver_is_map_only(spark, lake):
     assert count(silver_features(lake.bronze.read(spark)), "Exchange") == 0
 
