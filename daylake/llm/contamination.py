@@ -253,12 +253,12 @@ def contamination(
         found = _one_block(numbered, [], size, slack)
     if not merged:
         return found
-    together = found.groupBy("row").agg(
-        F.first("doc_id").alias("doc_id"),
+    # Rows of one key and id have equal texts, so a set holds a list for each block at most.
+    together = found.groupBy("row", "doc_id").agg(
         F.first("n_words").alias("n_words"),
-        F.flatten(F.collect_list("spans")).alias("spans"),
-        F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"),
-        F.array_distinct(F.flatten(F.collect_list("near_items"))).alias("near_items"),
+        F.flatten(F.collect_set("spans")).alias("spans"),
+        F.array_distinct(F.flatten(F.collect_set("items"))).alias("items"),
+        F.array_distinct(F.flatten(F.collect_set("near_items"))).alias("near_items"),
     )
     return together.select(
         "row",

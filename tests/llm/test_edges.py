@@ -118,6 +118,9 @@ def test_contamination_of_odd_rows(spark, edges):
     kept = drop_contaminated(edges, items)
     assert kept.columns == edges.columns
     assert sorted(r["doc_id"] for r in kept.collect()) == [2, 3, 7]
+    copies = edges.where("doc_id = 1").limit(1)
+    copies = copies.unionByName(copies.withColumn("doc_id", F.lit(50).cast("long")))
+    assert drop_contaminated(copies, items, block_words=3).isEmpty()
     assert contamination_report(contamination(edges, empty(items))).agg(F.sum("n_hit")).first()[0] == 0
     assert contamination(empty(edges), items).count() == 0
 
