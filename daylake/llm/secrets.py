@@ -101,9 +101,13 @@ def find_secrets(text: str) -> list[tuple[str, int, int]]:
         ]
     found += [("hex", m.start(), m.end()) for m in HEX.finditer(text)]
     base = sorted((a, b) for _, a, b in found)
+    at = reach = 0  # base spans that start before the candidate's end; where the furthest ends
     for m in CANDIDATE.finditer(text):
         a, b = m.span()
-        if not any(x < b and a < y for x, y in base) and is_secret(m.group()):
+        while at < len(base) and base[at][0] < b:
+            reach = max(reach, base[at][1])
+            at += 1
+        if reach <= a and is_secret(m.group()):
             found.append(("entropy", a, b))
     return sorted(found, key=lambda s: (s[1], KINDS.index(s[0])))
 
