@@ -208,8 +208,29 @@ def _best_fit(left: dict[int, int], open_bins: list[list], capacity: int) -> lis
     return done
 
 
-def packing_plan(histogram: dict[int, int], capacity: int, waste: int = 0) -> Plan:
-    """Places for all pieces of a histogram {length: count}."""
+def least_sequences(histogram: dict[int, int], capacity: int) -> int:
+    """A lower bound: by the sum of lengths, and as no two pieces over half the capacity
+    share a sequence."""
+    ids = sum(n * c for n, c in histogram.items())
+    return max(-(-ids // capacity), sum(c for n, c in histogram.items() if 2 * n > capacity))
+
+
+def packing_plan(histogram: dict[int, int], capacity: int, waste: int | None = None) -> Plan:
+    """Places for all pieces of a histogram {length: count}.
+
+    Patterns miss the capacity by at most ``waste``.  Without one, exactly filled patterns
+    are tried, and slightly wasteful ones (a 256th) too where those come out over a
+    thousandth above the lower bound; the plan with fewer sequences is taken.
+    """
+    if waste is not None:
+        return _fitted_plan(histogram, capacity, waste)
+    exact = _fitted_plan(histogram, capacity, 0)
+    if 1000 * exact.sequences <= 1001 * least_sequences(histogram, capacity):
+        return exact
+    return min(exact, _fitted_plan(histogram, capacity, capacity // 256), key=lambda p: p.sequences)
+
+
+def _fitted_plan(histogram: dict[int, int], capacity: int, waste: int) -> Plan:
     lengths = np.array(sorted(histogram), np.int64)
     bars = np.array([histogram[int(n)] for n in lengths], np.int64)
     bins: list[list] = []
@@ -248,7 +269,9 @@ def packing_plan(histogram: dict[int, int], capacity: int, waste: int = 0) -> Pl
     return Plan(*(np.ascontiguousarray(table[:, k]) for k in range(4)), sequences=sequence)
 
 
-def assign_sequences(pieces: DataFrame, capacity: int = 2048, *, waste: int = 0) -> DataFrame:
+def assign_sequences(
+    pieces: DataFrame, capacity: int = 2048, *, waste: int | None = None
+) -> DataFrame:
     """``pieces`` (a stored table with length, part and nth) with ``sequence_id`` and
     ``offset`` in place of part and nth.
 
