@@ -1,7 +1,8 @@
 """Toxicity: a lexicon trie met by Levenshtein automata, and the words around a hit.
 
-The lexicon is learnt: words and word stems that occur in toxic and hardly in other
-labelled texts, chosen so that each explains texts that no other one does.  The trie
+The lexicon is learnt: words and word stems with a higher text share in toxic than in
+other labelled texts, chosen so that each explains texts that no other one does.  Those
+that other texts hold as well are kept apart and count by their evidence.  The trie
 of the lexicon and the Levenshtein automata of its terms are intersected once into one
 deterministic automaton, which reads a word letter by letter and accepts it if it is a
 term, begins with a stem, or is a long enough term with one letter replaced, left out
@@ -17,7 +18,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +36,7 @@ CONTEXT = 4
 REPORTING = "said says say called calls wrote quote quoted word term phrase dijo dit sagte wort mot palabra".split()
 #: Digits and signs that stand for letters (fixed values).
 _LOOKALIKE = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s"}
+_LETTERS = str.maketrans(_LOOKALIKE)
 
 
 def _word_table() -> np.ndarray:
@@ -168,9 +170,10 @@ def match_words(
 
 # --- features and the model -----------------------------------------------------------
 
-KINDS = ("terms", "stems", "off_by_one", "quoted_terms", "quoted_off_by_one")
+#: Shared hits are of terms and stems that non-toxic texts hold, too.
+KINDS = ("terms", "stems", "off_by_one", "quoted_terms", "quoted_off_by_one", "shared", "quoted_shared")
 #: How much one hit of each kind is taken to say before anything is learnt about it.
-PRIOR = np.array([1.0, 1.0, 0.8, 0.7, 0.5])
+PRIOR = np.array([1.0, 1.0, 0.8, 0.7, 0.5, 0.8, 0.4])
 FEATURES = ("any", *KINDS)
 
 
@@ -181,13 +184,22 @@ class ToxicityModel:
     weights: np.ndarray  # the constant, then one by feature
     terms: tuple[str, ...] = ()
     stems: tuple[str, ...] = ()
+    shared: dict[str, float] = field(default_factory=dict)  # how much a shared term or stem* says
 
 
 class Scanner:
-    """Hits in blocks of texts."""
-
-    def __init__(self, automaton: WordAutomaton, ordinary: frozenset[str]) -> None:
+    """Hits in blocks of texts.  ``shared`` has the evidence, up to 1, of those terms and
+    stems (with a final star) that are not toxic alone."""
+
+    def __init__(
+        self,
+        automaton: WordAutomaton,
+        ordinary: frozenset[str],
+        shared: dict[str, float] | None = None,
+        stems: tuple[str, ...] = (),
+    ) -> None:
         self.automaton, self.ordinary = automaton, ordinary
+        self.shared, self.stems = shared or {}, frozenset(stems)
         self.is_word = _word_table()
         self.symbol = np.zeros(0x110000, np.uint8)
         for i, c in enumerate(automaton.symbols):
@@ -218,11 +230,28 @@ class Scanner:
             after = text[ends[i] : min(int(ends[last]), int(bounds[doc]) - 1)]
             yield doc, word, kind, _quoted(before, after)
 
+    def evidence(self, word: str, kind: int) -> float | None:
+        """That of the shared term or stem that was hit; None for one that is not shared."""
+        if not self.shared or kind == 3:
+            return None
+        word = word.translate(_LETTERS)
+        if kind == 1:
+            return self.shared.get(word)
+        hit = [word[:n] for n in STEMS if word[:n] in self.stems]
+        said = [self.shared.get(stem + "*") for stem in dict.fromkeys(hit)]
+        return None if not said or None in said else max(said)
+
     def features(self, texts: list[str | None]) -> np.ndarray:
-        """The strongest hit by prior, then for each kind whether there is a hit."""
+        """The strongest hit by prior, then for each kind whether there is a hit; for
+        shared ones the most evidence of any."""
         found = np.zeros((len(texts), len(KINDS)))
-        for doc, _, kind, quoted in self.hits(texts):
-            found[doc, {1: 3 if quoted else 0, 2: 1, 3: 4 if quoted else 2}[kind]] = 1.0
+        for doc, word, kind, quoted in self.hits(texts):
+            said = self.evidence(word, kind)
+            if said is None:
+                found[doc, {1: 3 if quoted else 0, 2: 1, 3: 4 if quoted else 2}[kind]] = 1.0
+            else:
+                at = 6 if quoted else 5
+                found[doc, at] = max(found[doc, at], said)
         return np.column_stack([(found * PRIOR).max(axis=1, initial=0.0), found])
 
 
@@ -239,7 +268,7 @@ def _quoted(before: str, after: str) -> bool:
 
 
 def fit_weights(x: np.ndarray, y: np.ndarray, steps: int = 40, penalty: float = 1e-5) -> np.ndarray:
-    """Logistic regression by Newton steps; constant first.
+    """Logistic regression by Newton steps, halved while they lead uphill; constant first.
 
     What is known about single kinds of hits is learnt with a stronger penalty than
     the weight of any hit, so a kind that the sample does not show keeps its prior.
@@ -248,11 +277,21 @@ def fit_weights(x: np.ndarray, y: np.ndarray, steps: int = 40, penalty: float =
     w = np.zeros(a.shape[1])
     w[0] = -2.0
     hold = np.array([1.0, 1.0, *[20.0] * (a.shape[1] - 2)]) * penalty * max(1, len(x))
+
+    def loss(w: np.ndarray) -> float:
+        z = a @ w
+        return float((np.logaddexp(0, z) - y * z).sum() + (hold * w * w).sum() / 2)
+
+    at = loss(w)
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
         h = (a * (p * (1 - p))[:, None]).T @ a + np.diag(hold)
         move = np.linalg.solve(h, a.T @ (y - p) - hold * w)
-        w = w + move
+        share = 1.0
+        while share > 1e-6 and loss(w + share * move) > at:
+            share /= 2
+        w = w + share * move
+        at = loss(w)
         if np.abs(move).max() < 1e-8:
             break
     return w
@@ -274,13 +313,17 @@ def fit_toxicity_model(
     max_candidates: int = 20_000,
     min_texts: int = 2,
     min_odds: float = 8.0,
+    sure_odds: float = 50.0,
 ) -> ToxicityModel:
     """A model from a bounded sample (``rows``) of labelled documents.
 
-    Candidates (``max_candidates`` with the most toxic texts) are units with a text
-    share ``min_odds`` times as high in toxic texts; :func:`_cover` picks terms among
-    them.  Equal texts count once.  Words one letter off a term that non-toxic texts
-    of the sample hold are ordinary.
+    Candidates (``max_candidates`` with the most evidence) are units with a text share
+    ``min_odds`` times as high in toxic texts, by smoothed shares, however many texts
+    of either class there are; :func:`_cover` picks terms among them.  A unit that
+    non-toxic texts hold is shared unless its odds are over ``sure_odds`` also at the
+    lower bound (:func:`_evidence`): the weights of shared hits, plain and quoted, are
+    learnt apart.  Equal texts count once.  Words one letter off a term that non-toxic
+    texts of the sample hold are ordinary.
     """
     spark = docs.sparkSession
     sample = labelled_sample(docs, labels, "toxic", rows=rows, modulus=modulus, remainder=remainder)
@@ -306,17 +349,20 @@ def fit_toxicity_model(
 
     toxic, other = totals.get(1, 0), totals.get(0, 0)
     odds = ((F.col("toxic") + 0.5) / (toxic + 1)) / ((F.col("other") + 0.5) / (other + 1))
-    candidates = [
-        r["unit"]
+    spread = F.sqrt(1 / (F.col("toxic") + 0.5) + 1 / (F.col("other") + 0.5))
+    evidence = F.log(odds) - spread
+    candidates = {
+        r["unit"]: (r["evidence"], r["other"])
         for r in once.select("y", "text")
         .mapInArrow(count, "unit string, toxic long, other long")
         .groupBy("unit")
         .agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
-        .where((F.col("toxic") >= min_texts) & (odds >= min_odds) & (F.col("other") * 50 <= F.col("toxic")))
-        .orderBy(F.desc("toxic"), "unit")
+        .where((F.col("toxic") >= min_texts) & (odds >= min_odds))
+        .select("unit", "toxic", "other", evidence.alias("evidence"))
+        .orderBy(F.desc(F.col("toxic") * F.col("evidence")), "unit")
         .limit(max_candidates)
         .collect()
-    ]
+    }
     wanted = spark.sparkContext.broadcast(frozenset(candidates))
 
     def contents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -335,7 +381,15 @@ def fit_toxicity_model(
     held = (
         once.where("y = 1").select("h", "text").mapInArrow(contents, "h long, units array<string>").orderBy("h").collect()
     )
-    chosen = _cover([r["units"] for r in held], min_texts)
+    # Whether a unit belongs to toxic speech can be doubted where other texts hold it.
+    doubtful = {u for u, (said, n) in candidates.items() if n and said < np.log(min_odds)}
+    chosen = _cover(
+        [r["units"] for r in held], min_texts, evidence={u: said for u, (said, _) in candidates.items()}, doubtful=doubtful
+    )
+    sure = float(np.log(sure_odds))
+    shared_units = {
+        u: min(1.0, candidates[u][0] / sure) for u in chosen if candidates[u][1] and candidates[u][0] < sure
+    }
     terms = tuple(sorted(u for u in chosen if not u.endswith("*")))
     stems = tuple(sorted(u[:-1] for u in chosen if u.endswith("*")))
     automaton = build_automaton(list(terms), list(stems))
@@ -351,18 +405,26 @@ def fit_toxicity_model(
         r["word"]
         for r in once.where("y = 0").select("text").mapInArrow(near, "word string").distinct().collect()
     )
-    untrained = ToxicityModel(automaton, ordinary, np.zeros(len(FEATURES) + 1), terms, stems)
+    untrained = ToxicityModel(automaton, ordinary, np.zeros(len(FEATURES) + 1), terms, stems, shared_units)
     featured = _add_features(once, untrained).select("h", "x", "y").orderBy("h").toArrow()
     y = featured.column("y").to_numpy().astype(np.float64)
     x = np.array(featured.column("x").to_pylist(), np.float64).reshape(len(y), len(FEATURES))
-    return ToxicityModel(automaton, ordinary, fit_weights(x, y), terms, stems)
+    return ToxicityModel(automaton, ordinary, fit_weights(x, y), terms, stems, shared_units)
 
 
-def _cover(texts: list[list[str]], min_texts: int, min_company: int = 5) -> list[str]:
+def _cover(
+    texts: list[list[str]],
+    min_texts: int,
+    min_company: int = 5,
+    *,
+    evidence: dict[str, float],
+    doubtful: set[str],
+) -> list[str]:
     """Units that explain the texts, then further ones that belong to toxic speech.
 
-    First, one by one, the unit in most texts not yet explained; among equals whole
-    words, then longer stems.  That leaves out units that always stand beside others.
+    First, one by one, the unit with the most evidence over the texts not yet explained;
+    among equals whole words, then longer stems.  That leaves out units that always
+    stand beside others, and ``doubtful`` ones are chosen in no other way.
     So then each unit is added whose texts hold at least ``min_company`` different
     selections of the units found first: the words of one text and its near copies
     have the same company everywhere, those of a lexicon have not.
@@ -371,18 +433,16 @@ def _cover(texts: list[list[str]], min_texts: int, min_company: int = 5) -> list
     for i, units in enumerate(texts):
         for u in units:
             whole.setdefault(u, set()).add(i)
-    rank = lambda u, own: (len(own), not u.endswith("*"), len(u), u)
-    inside = {u: set(own) for u, own in whole.items()}
+    rank = lambda u, own: (len(own) * evidence[u], not u.endswith("*"), len(u), u)
+    inside = {u: set(own) for u, own in whole.items() if len(own) >= min_texts}
     chosen: list[str] = []
     while inside:
         best = max(inside, key=lambda u: rank(u, inside[u]))
         done = inside.pop(best)
-        if len(done) < min_texts:
-            break
         chosen.append(best)
         for u in [u for u, own in inside.items() if own & done]:
             inside[u] = inside[u] - done
-            if not inside[u]:
+            if len(inside[u]) < min_texts:
                 del inside[u]
     first = set(chosen)
     company = [frozenset(first.intersection(units)) for units in texts]
@@ -392,16 +452,20 @@ def _cover(texts: list[list[str]], min_texts: int, min_company: int = 5) -> list
             (c.endswith("*") and u.startswith(c[:-1])) or (u[:-1] == c[: len(u) - 1] and own <= whole[c])
             for c in chosen
         )
-        if u not in first and not said and len({company[i] for i in own}) >= min_company:
+        if u not in first and u not in doubtful and not said and len({company[i] for i in own}) >= min_company:
             chosen.append(u)
     return chosen
 
 
+def _scanner(model: ToxicityModel) -> Scanner:
+    return Scanner(model.automaton, model.ordinary, model.shared, model.stems)
+
+
 def _add_features(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def make():
-        scanner = Scanner(shared.value.automaton, shared.value.ordinary)
+        scanner = _scanner(shared.value)
         return lambda texts: (
             pa.array(list(scanner.features(texts.cast(pa.large_string()).to_pylist())), pa.list_(pa.float64())),
         )
@@ -417,7 +481,7 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, *, column: str = "scor
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def make():
-        scanner = Scanner(shared.value.automaton, shared.value.ordinary)
+        scanner = _scanner(shared.value)
         weights = shared.value.weights
 
         def work(texts: pa.Array):
