@@ -171,9 +171,11 @@ def match_words(
 # --- features and the model -----------------------------------------------------------
 
 #: Shared hits are of terms and stems that non-toxic texts hold, too.
-KINDS = ("terms", "stems", "off_by_one", "quoted_terms", "quoted_off_by_one", "shared", "quoted_shared")
+KINDS = (
+    "terms", "stems", "off_by_one", "quoted_terms", "quoted_stems", "quoted_off_by_one", "shared", "quoted_shared",
+)
 #: How much one hit of each kind is taken to say before anything is learnt about it.
-PRIOR = np.array([1.0, 1.0, 0.8, 0.7, 0.5, 0.8, 0.4])
+PRIOR = np.array([1.0, 1.0, 0.8, 0.7, 0.7, 0.5, 0.8, 0.4])
 FEATURES = ("any", *KINDS)
 
 
@@ -248,9 +250,9 @@ class Scanner:
         for doc, word, kind, quoted in self.hits(texts):
             said = self.evidence(word, kind)
             if said is None:
-                found[doc, {1: 3 if quoted else 0, 2: 1, 3: 4 if quoted else 2}[kind]] = 1.0
+                found[doc, kind - 1 + 3 * quoted] = 1.0
             else:
-                at = 6 if quoted else 5
+                at = 7 if quoted else 6
                 found[doc, at] = max(found[doc, at], said)
         return np.column_stack([(found * PRIOR).max(axis=1, initial=0.0), found])
 
@@ -386,12 +388,18 @@ def fit_toxicity_model(
     chosen = _cover(
         [r["units"] for r in held], min_texts, evidence={u: said for u, (said, _) in candidates.items()}, doubtful=doubtful
     )
+    stems = tuple(sorted(u[:-1] for u in chosen if u.endswith("*")))
+    # A stem has no errors, as it would be in too many words; so the words it stands for
+    # are terms beside it, and their misspellings are found.
+    begins = set(stems)
+    inflected = {u for u in candidates if not u.endswith("*") and any(u[:n] in begins for n in STEMS)}
+    terms = tuple(sorted(inflected.union(u for u in chosen if not u.endswith("*"))))
     sure = float(np.log(sure_odds))
     shared_units = {
-        u: min(1.0, candidates[u][0] / sure) for u in chosen if candidates[u][1] and candidates[u][0] < sure
+        u: min(1.0, candidates[u][0] / sure)
+        for u in {*chosen, *inflected}
+        if candidates[u][1] and candidates[u][0] < sure
     }
-    terms = tuple(sorted(u for u in chosen if not u.endswith("*")))
-    stems = tuple(sorted(u[:-1] for u in chosen if u.endswith("*")))
     automaton = build_automaton(list(terms), list(stems))
     shared = spark.sparkContext.broadcast(automaton)
 

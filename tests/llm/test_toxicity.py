@@ -4,10 +4,8 @@ from __future__ import annotations
 
 import random
 
-import numpy as np
-
 from daylake.llm import common
-from daylake.llm.toxicity import fit_toxicity_model, score_toxicity
+from daylake.llm.toxicity import KINDS, _scanner, fit_toxicity_model, score_toxicity
 
 WORDS = [a + b + c for a in ("ba", "ko", "mi", "tu", "re") for b in ("lan", "dor", "ves") for c in ("ta", "ni", "go")]
 
@@ -60,3 +58,32 @@ def test_terms_that_clean_texts_quote_are_judged_by_their_context(spark):
     assert "zwuqqer" in model.terms
     plain, quoted = _scores(spark, model, [f"{_filler(rng)} zwuqqer {_filler(rng)}", f'{_filler(rng)} "zwuqqer" {_filler(rng)}'])
     assert plain > 0.5 > quoted
+
+
+def _inflected(spark, rng, quoted=0):
+    forms = [a + b for a in ("zwuqqer", "gryzzin") for b in ("", "s", "ed", "ing")]
+    rows = [(f"{_filler(rng)} {rng.choice(forms)} {_filler(rng)}", 1) for _ in range(240)]
+    rows += [(f'{_filler(rng)} "{rng.choice(forms)}" {_filler(rng)}', 0) for _ in range(quoted)]
+    rows += [(f"{_filler(rng)} {_filler(rng)}", 0) for _ in range(240)]
+    return _fit(spark, rows)
+
+
+def test_misspellings_inside_a_stem_are_found(spark):
+    rng = random.Random(8)
+    model = _inflected(spark, rng)
+    assert model.stems
+    wrong = ["zwqqer", "gryzin", "zwuqqrs", "gyzzined"]
+    scores = _scores(spark, model, [*(f"{_filler(rng)} {w}" for w in wrong), _filler(rng)])
+    assert min(scores[:4]) > 0.5 > scores[4]
+
+
+def test_quoted_stems_are_told_from_plain_ones(spark):
+    rng = random.Random(9)
+    model = _inflected(spark, rng)
+    assert model.stems
+    x = _scanner(model).features(["so zwuqqering now", 'so "zwuqqering" now'])
+    at = 1 + KINDS.index("stems"), 1 + KINDS.index("quoted_stems")
+    assert x[:, at].tolist() == [[1.0, 0.0], [0.0, 1.0]]
+    model = _inflected(spark, rng, quoted=16)
+    plain, quoted = _scores(spark, model, [f"{_filler(rng)} zwuqqering now", f'{_filler(rng)} "zwuqqering" now'])
+    assert plain > 0.5 > quoted
