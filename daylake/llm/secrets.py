@@ -83,10 +83,18 @@ def is_secret(candidate: str) -> bool:
     return best_entropy(candidate) >= LIMITS[character_class(candidate)]
 
 
+def _is_rest_secret(rest: str, whole: bool) -> bool:
+    """Whether a candidate, or what is left of one, is reported.  The signs that join a
+    rest to its neighbours do not decide about its class, if it is long enough without."""
+    core = rest if whole else rest.strip("+/_=-")
+    return is_secret(core if len(core) >= WINDOW else rest)
+
+
 def find_secrets(text: str) -> list[tuple[str, int, int]]:
     """(kind, start, end) in code points, by start, then kind.
 
-    Entropy spans that overlap a span of another kind are left out: it says the same.
+    Entropy candidates are what spans of other kinds leave of a run of key characters:
+    all of it, or the parts before, between and behind them that are long enough.
     """
     found = [
         ("assign", m.start(), m.end())
@@ -104,11 +112,17 @@ def find_secrets(text: str) -> list[tuple[str, int, int]]:
     at = reach = 0  # base spans that start before the candidate's end; where the furthest ends
     for m in CANDIDATE.finditer(text):
         a, b = m.span()
+        free = max(a, reach)
+        rests = []
         while at < len(base) and base[at][0] < b:
+            rests.append((free, base[at][0]))
             reach = max(reach, base[at][1])
+            free = max(free, reach)
             at += 1
-        if reach <= a and is_secret(m.group()):
-            found.append(("entropy", a, b))
+        rests.append((free, b))
+        found += [
+            ("entropy", c, d) for c, d in rests if d - c >= WINDOW and _is_rest_secret(text[c:d], (c, d) == (a, b))
+        ]
     return sorted(found, key=lambda s: (s[1], KINDS.index(s[0])))
 
 
