@@ -64,24 +64,50 @@ class SuffixAutomaton:
         table = np.tile(fresh, (len(self.after), 1))
         for state, moves in enumerate(self.after):
             for c, to in moves.items():
-                table[state, c] = to
+                if c < n_symbols:
+                    table[state, c] = to
         return table
 
 
+class Rare:
+    """Transitions of letters that have no column in a table, by state and symbol."""
+
+    def __init__(self, automaton: SuffixAutomaton, width: int, n_symbols: int) -> None:
+        moves = sorted(
+            (state * n_symbols + c, to)
+            for state, after in enumerate(automaton.after)
+            for c, to in after.items()
+            if c >= width
+        )
+        self.n_symbols, self.width = n_symbols, width
+        self.keys = np.array([k for k, _ in moves], np.int64)
+        self.to = np.array([to for _, to in moves], np.int32)
+        self.fresh = np.array([-1 - automaton.after[0].get(c, 0) for c in range(width, n_symbols)], np.int32)
+
+    def moved(self, state: np.ndarray, symbol: np.ndarray) -> np.ndarray:
+        key = state.astype(np.int64) * self.n_symbols + symbol
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return np.where(self.keys[at] == key, self.to[at], self.fresh[symbol - self.width])
+
+
 @dataclass(frozen=True)
 class LanguageModel:
-    """Languages in order, their tables and log lengths, and the symbol of each
-    code point (0: no letter; the last symbol: a letter never seen in training)."""
+    """Languages in order, and the symbol of each code point (0: no letter; the last
+    symbol: a letter never seen in training).  By language: the symbols' columns in its
+    table, the table, transitions of letters beyond its columns (None if there are none)
+    and the log length."""
 
     languages: list[str]
+    columns: list[np.ndarray]
     tables: list[np.ndarray]
+    rare: list[Rare | None]
     log_length: np.ndarray
     symbol: np.ndarray
 
 
 def _letter_symbols(alphabet: list[str]) -> np.ndarray:
     symbol = np.fromiter((chr(c).isalpha() for c in range(0x110000)), bool, 0x110000)
-    symbol = np.where(symbol, len(alphabet) + 1, 0).astype(np.uint8)
+    symbol = np.where(symbol, len(alphabet) + 1, 0).astype(np.int32)
     for i, letter in enumerate(alphabet):
         symbol[ord(letter)] = i + 1
     return symbol
@@ -105,14 +131,14 @@ def fit_language_model(
     rows_per_language: int = 128,
     chars_per_row: int = 150,
     max_languages: int = 256,
-    max_alphabet: int = 200,
+    dense_letters: int = 200,
 ) -> LanguageModel:
     """A model from labelled rows (columns lang and text; a null in either is skipped).
 
     Bounded sample: for each language the ``rows_per_language`` distinct texts that
     have letters and least hashes, ``chars_per_row`` characters of each.  The hash is that of the
-    text, so copies count once.  More than ``max_languages`` labels are an error.  The
-    ``max_alphabet`` most frequent letters of the sample get symbols of their own.
+    text, so copies count once.  More than ``max_languages`` labels are an error.  All letters of the sample have symbols of their own; the
+    ``dense_letters`` most frequent ones of a language are kept in a dense table.
     """
     labelled = docs.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
     hashed = labelled.groupBy("lang", F.xxhash64("text").alias("h")).agg(F.lit(1).alias("one"))
@@ -140,33 +166,33 @@ def fit_language_model(
     texts: dict[str, list[str]] = {}
     for row in rows:
         texts.setdefault(row["_lang"], []).append(row["text"].lower())
-    return language_model(texts, max_alphabet)
+    return language_model(texts, dense_letters)
 
 
-def language_model(texts: dict[str, list[str]], max_alphabet: int = 200) -> LanguageModel:
-    """A model from lower-case texts by language, all cut to an equal total length."""
-    counts: dict[str, int] = {}
-    for text in (t for some in texts.values() for t in some):
-        for c in text:
-            if c.isalpha():
-                counts[c] = counts.get(c, 0) + 1
-    alphabet = sorted(sorted(counts, key=lambda c: (-counts[c], c))[:max_alphabet])
+def language_model(texts: dict[str, list[str]], dense_letters: int = 200) -> LanguageModel:
+    """A model from lower-case texts by language, of any total lengths."""
+    alphabet = sorted({c for some in texts.values() for t in some for c in t if c.isalpha()})
     symbol = _letter_symbols(alphabet)
     parts = {
         lang: _symbols([" ".join(texts[lang]) + " "], symbol)[0] for lang in sorted(texts)
     }
-    # A symbol that no training text has: unseen letters and joints never match.
+    # The last symbol is of letters that no training text has: they never match.
     n_symbols = len(alphabet) + 2
-    tables = []
+    columns, tables, rare = [], [], []
     for codes in parts.values():
-        known = [int(c) if c < n_symbols - 1 else n_symbols for c in codes]
-        tables.append(SuffixAutomaton(known).table(n_symbols + 1)[:, :n_symbols])
-    return LanguageModel(
-        list(parts),
-        tables,
-        np.array([np.log2(max(2, len(c))) for c in parts.values()]),
-        symbol,
-    )
+        letters, times = np.unique(codes[codes > 0], return_counts=True)
+        letters = letters[np.argsort(-times, kind="stable")]
+        width = min(len(letters), dense_letters) + 2
+        column = np.full(n_symbols, width - 1, np.int32)  # of letters this language has not
+        column[0] = 0
+        column[letters[: width - 2]] = np.arange(1, width - 1)
+        column[letters[width - 2 :]] = np.arange(width, len(letters) + 2)
+        automaton = SuffixAutomaton(column[codes].tolist())
+        columns.append(column)
+        tables.append(automaton.table(width))
+        rare.append(Rare(automaton, width, len(letters) + 2) if len(letters) + 2 > width else None)
+    log_length = np.array([np.log2(max(2, len(c))) for c in parts.values()])
+    return LanguageModel(list(parts), columns, tables, rare, log_length, symbol)
 
 
 def predict(model: LanguageModel, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
@@ -195,11 +221,18 @@ def predict(model: LanguageModel, texts: list[str | None]) -> tuple[list[str], n
         lanes = codes.take(np.where(inside, places, 0)).astype(np.int32)
         alive = inside.sum(axis=1)
         for k, table in enumerate(model.tables):
-            flat, width = table.ravel(), table.shape[1]
+            flat, width, rare = table.ravel(), table.shape[1], model.rare[k]
+            local = model.columns[k].take(lanes)
             state = np.zeros(len(s), np.int32)
             count = np.zeros(len(s), np.int32)
-            for row, n in zip(lanes, alive.tolist()):
-                moved = flat.take(state[:n] * width + row[:n])
+            for row, n in zip(local, alive.tolist()):
+                if rare is None:
+                    moved = flat.take(state[:n] * width + row[:n])
+                else:
+                    moved = flat.take(state[:n] * width + np.minimum(row[:n], width - 1))
+                    beyond = np.flatnonzero(row[:n] >= width)
+                    if len(beyond):
+                        moved[beyond] = rare.moved(state[beyond], row[beyond])
                 count[:n] += moved < 0
                 state[:n] = np.maximum(moved, -1 - moved)
             cost[k] += np.bincount(o, (count + 1) * model.log_length[k], minlength=len(texts))
