@@ -16,7 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from daylake.llm.common import add_from_text, free_name
 from daylake.session import stage
@@ -135,12 +135,16 @@ def fit_language_model(
 ) -> LanguageModel:
     """A model from labelled rows (columns lang and text; a null in either is skipped).
 
-    Bounded sample: for each language the ``rows_per_language`` distinct texts that
-    have letters and least hashes, ``chars_per_row`` characters of each.  The hash is that of the
-    text, so copies count once.  More than ``max_languages`` labels are an error.  All letters of the sample have symbols of their own; the
+    Bounded sample: of each text with letters a span of ``chars_per_row`` characters, for
+    each language the ``rows_per_language`` distinct spans with least hashes.  A span
+    begins anywhere in its text, by the text's hash; so headers that many texts share
+    have their share only, and equal spans count once.  More than ``max_languages``
+    labels are an error.  All letters of the sample have symbols of their own; the
     ``dense_letters`` most frequent ones of a language are kept in a dense table.
     """
-    labelled = docs.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
+    labelled = docs.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select(
+        "lang", _span(F.col("text"), chars_per_row).alias("text")
+    )
     hashed = labelled.groupBy("lang", F.xxhash64("text").alias("h")).agg(F.lit(1).alias("one"))
     # First within parts of a language, so that a language with most of the rows is
     # never ranked in one task.
@@ -159,7 +163,7 @@ def fit_language_model(
     rows = (
         labelled.join(wanted, same)
         .groupBy("_lang", "_h")
-        .agg(F.min(F.substring("text", 1, chars_per_row)).alias("text"))
+        .agg(F.min("text").alias("text"))
         .orderBy("_lang", "_h")
         .collect()
     )
@@ -169,6 +173,15 @@ def fit_language_model(
     return language_model(texts, dense_letters)
 
 
+def _span(text: Column, size: int) -> Column:
+    """``size`` characters of a text with letters, from a place given by its hash; from
+    its first letter if there is none among them."""
+    places = F.greatest(F.length(text) - size + 1, F.lit(1))
+    span = F.substring(text, (F.pmod(F.xxhash64(text, F.lit(1)), places) + 1).cast("int"), F.lit(size))
+    lettered = F.substring(F.regexp_extract(text, r"\p{L}[\s\S]*", 0), 1, size)
+    return F.when(span.rlike(r"\p{L}"), span).otherwise(lettered)
+
+
 def language_model(texts: dict[str, list[str]], dense_letters: int = 200) -> LanguageModel:
     """A model from lower-case texts by language, of any total lengths."""
     alphabet = sorted({c for some in texts.values() for t in some for c in t if c.isalpha()})
