@@ -2,8 +2,10 @@
 
 For every language a suffix automaton of labelled text is built.  A text is parsed
 into the longest phrases that occur in that text; the fewer phrases it takes, weighed
-by the logarithm of the training text's length, the nearer the language (an estimate
-of the cross entropy).  Only the automaton's transitions are needed for parsing, so a
+by the bits that a phrase of letters drawn at random has (it grows with the logarithm of
+the training text's length), the nearer the language (an estimate of the cross entropy).
+So training texts of any lengths compare: on random letters all cost the same.  A letter
+that a training text has not costs the bits of a symbol more.  Only the automaton's transitions are needed for parsing, so a
 worker steps many blocks of text through a table of next states at once.
 
 A block has ``BLOCK`` symbols and phrases end with a block: whole texts of any length
@@ -68,6 +70,17 @@ class SuffixAutomaton:
                     table[state, c] = to
         return table
 
+    def phrases(self, symbols: list[int]) -> int:
+        """How many new phrases begin when the symbols are parsed."""
+        state, count = 0, 0
+        for c in symbols:
+            to = self.after[state].get(c)
+            if to is None:
+                count += 1
+                to = self.after[0].get(c, 0)
+            state = to
+        return count
+
 
 class Rare:
     """Transitions of letters that have no column in a table, by state and symbol."""
@@ -94,14 +107,15 @@ class Rare:
 class LanguageModel:
     """Languages in order, and the symbol of each code point (0: no letter; the last
     symbol: a letter never seen in training).  By language: the symbols' columns in its
-    table, the table, transitions of letters beyond its columns (None if there are none)
-    and the log length."""
+    table, the table, transitions of letters beyond its columns (None if there are none),
+    the expected length of a phrase and its bits."""
 
     languages: list[str]
     columns: list[np.ndarray]
     tables: list[np.ndarray]
     rare: list[Rare | None]
-    log_length: np.ndarray
+    phrase_length: np.ndarray
+    phrase_bits: np.ndarray
     symbol: np.ndarray
 
 
@@ -191,7 +205,8 @@ def language_model(texts: dict[str, list[str]], dense_letters: int = 200) -> Lan
     }
     # The last symbol is of letters that no training text has: they never match.
     n_symbols = len(alphabet) + 2
-    columns, tables, rare = [], [], []
+    columns, tables, rare, own = [], [], [], []
+    probe = _drawn(parts, PROBE, seed=1)
     for codes in parts.values():
         letters, times = np.unique(codes[codes > 0], return_counts=True)
         letters = letters[np.argsort(-times, kind="stable")]
@@ -204,8 +219,37 @@ def language_model(texts: dict[str, list[str]], dense_letters: int = 200) -> Lan
         columns.append(column)
         tables.append(automaton.table(width))
         rare.append(Rare(automaton, width, len(letters) + 2) if len(letters) + 2 > width else None)
-    log_length = np.array([np.log2(max(2, len(c))) for c in parts.values()])
-    return LanguageModel(list(parts), columns, tables, rare, log_length, symbol)
+        own.append(len(probe) / max(1, automaton.phrases(column[probe].tolist())))
+    length, bits = _phrase_measures(parts, probe, np.array(own))
+    return LanguageModel(list(parts), columns, tables, rare, length, bits, symbol)
+
+
+#: Symbols drawn at random to see how long phrases of them get.
+PROBE = 4096
+
+
+def _drawn(parts: dict[str, np.ndarray], n: int, seed: int) -> np.ndarray:
+    """Symbols drawn at random from all training texts."""
+    pool = np.concatenate([*parts.values(), np.zeros(0, np.int32)])
+    return np.random.default_rng(seed).choice(pool, n) if len(pool) else pool
+
+
+def _phrase_measures(parts: dict[str, np.ndarray], probe: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Length and bits by language of the phrases of random symbols.
+
+    The length is that for a random training text as long as the language's, or that
+    for its own (``own``), if longer: a few frequent letters match more than others.
+    """
+    if not parts:
+        return np.zeros(0), np.zeros(0)
+    lengths = np.array([max(2, len(c)) for c in parts.values()])
+    sizes = 2 ** np.arange(1, int(np.ceil(np.log2(lengths.max()))) + 1)
+    source = _drawn(parts, int(sizes[-1]), seed=0).tolist()
+    usual = [len(probe) / max(1, SuffixAutomaton(source[:n]).phrases(probe.tolist())) for n in sizes.tolist()]
+    length = np.maximum(np.interp(np.log2(lengths), np.log2(sizes), np.maximum.accumulate(usual)), own)
+    share = np.unique(np.concatenate(list(parts.values())), return_counts=True)[1]
+    share = share / share.sum()
+    return length, length * max(1.0, float(-(share * np.log2(share)).sum()))
 
 
 def predict(model: LanguageModel, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
@@ -238,7 +282,9 @@ def predict(model: LanguageModel, texts: list[str | None]) -> tuple[list[str], n
             local = model.columns[k].take(lanes)
             state = np.zeros(len(s), np.int32)
             count = np.zeros(len(s), np.int32)
-            for row, n in zip(local, alive.tolist()):
+            strange = np.zeros(len(s), np.int32)
+            last = np.zeros(len(s), np.int32)  # where the last phrase begins
+            for t, (row, n) in enumerate(zip(local, alive.tolist())):
                 if rare is None:
                     moved = flat.take(state[:n] * width + row[:n])
                 else:
@@ -246,9 +292,15 @@ def predict(model: LanguageModel, texts: list[str | None]) -> tuple[list[str], n
                     beyond = np.flatnonzero(row[:n] >= width)
                     if len(beyond):
                         moved[beyond] = rare.moved(state[beyond], row[beyond])
-                count[:n] += moved < 0
+                new = moved < 0
+                count[:n] += new
+                strange[:n] += moved == -1
+                last[:n][new] = t
                 state[:n] = np.maximum(moved, -1 - moved)
-            cost[k] += np.bincount(o, (count + 1) * model.log_length[k], minlength=len(texts))
+            # The last phrase is cut by the end: it counts by its length.
+            rest = np.minimum(1.0, (s - last) / model.phrase_length[k])
+            bits = (count + rest) * model.phrase_bits[k] + strange * np.log2(len(model.columns[k]))
+            cost[k] += np.bincount(o, bits, minlength=len(texts))
     best = np.argmin(cost, axis=0)
     least = cost[best, np.arange(len(texts))]
     others = cost.copy()
