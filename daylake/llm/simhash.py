@@ -260,31 +260,38 @@ def components_of(prints: DataFrame, max_group: int = 4096) -> DataFrame:
 
 
 def drop_near_duplicates(docs: DataFrame, max_group: int = 4096) -> DataFrame:
-    """One row of each component, with all columns: that with the least doc_id.
+    """One row of each component, with all columns: that with the least doc_id, among
+    equal ids that with the least hash of its text.
 
-    Of repeated rows with that id one stays.  In a component without any id, one row
-    stays for each of its fingerprints.
+    Rows are told apart by id and text, so texts that share an id without resembling each
+    other all stay.  Of rows repeated with id and text one stays, and a component without
+    any id keeps one row, too.
     """
-    found = stage(near_duplicates(docs, max_group), "near-duplicates")
-    kept = found.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("_n"))
+    said = free_name(docs.columns, "_text_hash")
+    hashed = docs.select("doc_id", "text", F.xxhash64("text").alias(said))
+    prints = stage(_with_fingerprint(hashed, "fp").select(F.col("doc_id").cast("long"), said, "fp"), "fingerprints")
+    keys = prints.groupBy("doc_id", said, "fp").agg(F.count("*").alias("n"))
+    row = F.struct(F.col("doc_id").isNull().alias("anonymous"), "doc_id", F.col(said).alias("hash"), "n")
+    distinct = stage(keys.groupBy("fp").agg(F.min(row).alias("first")), "distinct-fps")
+    roots = connected_components(links(distinct.select("fp"), max_group))
+    rooted = distinct.join(roots, distinct["fp"] == roots["node"], "left").select(
+        F.coalesce("root", "fp").alias("root"), "first"
+    )
     name = free_name(docs.columns, "_kept_id")
     many = free_name(docs.columns, "_kept_rows")
-    keep = kept.select(F.col("doc_id").alias(name), F.col("_n").alias(many))
-    own = F.col("doc_id").cast("long") == F.col(name)
-    again = stage(keep.where(F.col(many) > 1), "repeated-ids")
+    keep = stage(
+        rooted.groupBy("root")
+        .agg(F.min("first").alias("first"))
+        .select(F.col("first.doc_id").alias(name), F.col("first.hash").alias("_kept_hash"), F.col("first.n").alias(many)),
+        "kept-rows",
+    )
+    own = F.col("doc_id").cast("long").eqNullSafe(F.col(name)) & (F.xxhash64("text") == F.col("_kept_hash"))
     out = docs.join(keep.where(F.col(many) == 1), own, "left_semi")
-    if not again.isEmpty():
-        repeated = docs.join(again, own, "left_semi").dropDuplicates(["doc_id"])
-        out = out.unionByName(repeated)
-    anonymous = found.where("doc_id is null and component_id is null")
-    if anonymous.isEmpty():
+    again = keep.where(F.col(many) > 1)
+    if again.isEmpty():
         return out
-    lost = docs.where("doc_id is null").dropDuplicates(["text"])
-    prints = _with_fingerprint(lost, name)
-    alone = prints.join(
-        anonymous.select(F.col("fp").alias(many)).distinct(), F.col(name) == F.col(many), "left_semi"
-    )
-    return out.unionByName(alone.dropDuplicates([name]).drop(name))
+    repeated = docs.join(again, own, "left_semi").dropDuplicates(["doc_id", "text"])
+    return out.unionByName(repeated)
 
 
 def _with_fingerprint(docs: DataFrame, name: str) -> DataFrame:
