@@ -337,7 +337,10 @@ def identify_language(
 
 
 def keep_identified(docs: DataFrame, model: LanguageModel) -> DataFrame:
-    """``docs`` without those whose language is ``und``; columns stay as they are."""
+    """``docs`` without null texts and texts without a letter, the ones whose language is
+    ``und`` where any language was learnt; columns stay as they are."""
+    if not model.languages:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
     lang = free_name(docs.columns, "_lang_pred")
     score = free_name(docs.columns, "_lang_score")
     named = identify_language(docs, model, lang_column=lang, score_column=score)

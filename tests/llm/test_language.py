@@ -7,7 +7,7 @@ import random
 import pytest
 
 from daylake.llm import common
-from daylake.llm.language import fit_language_model, language_model, predict
+from daylake.llm.language import fit_language_model, keep_identified, language_model, predict
 
 SF = "/root/testdata/sf0.01"
 
@@ -61,3 +61,10 @@ def test_shared_headers_do_not_make_the_sample(spark, english):
     model = fit_language_model(docs)
     assert len(model.tables[model.languages.index("en")]) > 5000
     assert len(model.tables[model.languages.index("de")]) > 5
+
+
+def test_documents_stay_where_no_label_is_known(spark):
+    common.ship_package(spark)
+    rows = [(1, "some words", None), (2, None, None), (3, "12 - 34", None), (4, "日本", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert sorted(r["doc_id"] for r in keep_identified(docs, fit_language_model(docs)).collect()) == [1, 4]
