@@ -8,10 +8,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from daylake.llm.common import held_out, read_table, ship_package
 from daylake.llm.contamination import contamination, contamination_report
+from daylake.llm.conversations import repair_conversations
 from daylake.llm.embeddings import near_vectors
 from daylake.llm.language import fit_language_model, identify_language
 from daylake.llm.merkle import merkle_manifest
-from daylake.llm.oracle_sql import MERKLE
+from daylake.llm.oracle_sql import MERKLE, REPAIR
 from daylake.llm.packing import assign_sequences, tokenized_pieces
 from daylake.llm.quality import fit_quality_model, score_quality
 from daylake.llm.secrets import base_spans, scan_secrets, span_text
@@ -132,6 +133,11 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle_manifest(read_table(spark, sf_dir, "documents"))
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    return repair_conversations(read_table(spark, sf_dir, "conversations"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -150,12 +156,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_embedding_dedup": op9_embedding_dedup,
     "op10_secrets": op10_secrets,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_conversation_repair": op12_conversation_repair,
     "pipeline": pipeline,
 }
 
 #: SQL equivalents, where SQL can express the operator.
 ORACLES: dict[str, str] = {
     "op11_merkle_manifest": MERKLE,
+    "op12_conversation_repair": REPAIR,
     "op3_decontamination": r"""
 WITH doc AS (
     SELECT row_number() OVER () AS row, doc_id,
