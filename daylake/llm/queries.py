@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from daylake.llm.common import held_out, read_table, ship_package
+from daylake.llm.context_tree import score_texts
 from daylake.llm.contamination import contamination, contamination_report
 from daylake.llm.conversations import repair_conversations
 from daylake.llm.embeddings import near_vectors
@@ -138,6 +139,10 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair_conversations(read_table(spark, sf_dir, "conversations"))
 
 
+def op13_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_texts(_documents(spark, sf_dir))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -157,6 +162,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_secrets": op10_secrets,
     "op11_merkle_manifest": op11_merkle_manifest,
     "op12_conversation_repair": op12_conversation_repair,
+    "op13_lm_scoring": op13_lm_scoring,
     "pipeline": pipeline,
 }
 
