@@ -35,5 +35,19 @@ class ContractViolation(ValueError):
         super().__init__(f"contract '{suite}' failed: {shown}{more}")
 
 
+class UnknownPlaces(ValueError):
+    """A load has readings of places that the dimension lacks.
+
+    ``failures`` holds ``(location_id, observation_date, readings)`` of the first pairs;
+    ``total`` is the number of pairs, and ``report`` the whole load report.
+    """
+
+    def __init__(self, failures: list[tuple], total: int, report: DataFrame) -> None:
+        self.failures, self.total, self.report = failures, total, report
+        shown = "; ".join(f"{place} on {day}: {count} reading(s)" for place, day, count in failures)
+        more = "" if total <= len(failures) else f"; and {total - len(failures)} more"
+        super().__init__(f"readings of unknown places: {shown}{more}")
+
+
 class NoSharedFolder(RuntimeError):
     """Several machines are used and no folder that they share is named."""

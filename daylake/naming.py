@@ -5,7 +5,7 @@ from __future__ import annotations
 
 def namespace(env: str, layer: str) -> str:
     """Database of a layer: ``{env}_{layer}``, dashes in ``env`` as underscores."""
-    return "_".join((env.replace("-", "_"), layer))
+    return f"{env.replace('-', '_')}_{layer}"
 
 
 def table_name(env: str, layer: str, table: str, catalog: str | None = None) -> str:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from daylake.functions import nan_as_null
 from daylake.functions.degree_days import as_column
+from daylake.operators.days import DayRange, location_date_grid
 from daylake.schemas import BRONZE, conform
 
 
@@ -61,26 +62,34 @@ def unique_locations(locations: DataFrame) -> DataFrame:
     return one.where(sound.cast("boolean")).drop("_n")
 
 
-def readings_for_locations(readings: DataFrame, locations: DataFrame) -> DataFrame:
-    """Coordinates of each reading's location; see :func:`load_report` for readings of
-    places that the dimension does not have.
+def readings_with_places(readings: DataFrame, locations: DataFrame) -> DataFrame:
+    """Every reading with the coordinates of its location and ``known_place``.
 
-    The size of the location side decides between broadcast and shuffled join at
-    run time (its files' size when planned, its measured size under AQE).
+    Readings of places that the dimension lacks stay, without coordinates: no reading is
+    lost here, whoever takes the known ones has the others in the same frame.  The size
+    of the location side decides between broadcast and shuffled join at run time (its
+    files' size when planned, its measured size under AQE).
     """
-    return readings.join(unique_locations(locations), "location_id", "inner")
+    places = unique_locations(locations).withColumn("_known", F.lit(True))
+    joined = readings.join(places, "location_id", "left")
+    return joined.withColumn("known_place", F.coalesce("_known", F.lit(False))).drop("_known")
 
 
-def load_report(readings: DataFrame, expected: DataFrame) -> DataFrame:
+def load_report(readings: DataFrame, locations: DataFrame, days: DayRange) -> DataFrame:
     """``location_id, observation_date, problem, readings`` where a load is not one to
-    one with the ``expected`` pairs of place and day: ``missing`` (no reading),
-    ``unknown place`` or ``unexpected day`` (readings that no pair takes).
+    one with the places on all days of a range: ``missing`` (no reading), ``unknown
+    place`` or ``unexpected day`` (readings that no pair takes).
+
+    Places come from the dimension itself; the pairs are generated, and readings are
+    counted before they are shuffled.
     """
     keys = ["location_id", "observation_date"]
     counts = readings.groupBy(*keys).agg(F.count("*").alias("readings"))
-    pairs = expected.select(*keys).distinct().withColumn("_expected", F.lit(True))
-    places = expected.select("location_id").distinct().withColumn("_place", F.lit(True))
-    joined = counts.join(pairs, keys, "full").join(places, "location_id", "left")
+    known = unique_locations(locations).select("location_id")
+    pairs = location_date_grid(known, days.start, days.end).withColumn("_expected", F.lit(True))
+    joined = counts.join(pairs, keys, "full").join(
+        known.withColumn("_place", F.lit(True)), "location_id", "left"
+    )
     problem = (
         F.when(F.col("readings").isNull(), "missing")
         .when(F.col("_place").isNull(), "unknown place")

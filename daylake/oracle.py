@@ -220,6 +220,30 @@ def all_oracles() -> dict[str, str]:
         "parse_bad_replies": """SELECT event_id, CASE event_id % 10 WHEN 0 THEN 'not readable'
             WHEN 1 THEN 'no daily values' WHEN 2 THEN 'not readable' ELSE 'none' END AS problem
             FROM events""",
+        "load_places_aside": f"""WITH {READINGS}
+            SELECT observation_date AS ingest_date, location_id,
+              CASE WHEN latitude >= -80 THEN 'bronze' ELSE 'aside' END AS stored_in,
+              count(*) AS n_rows, count(*) FILTER (latitude >= -80) AS n_placed
+            FROM readings GROUP BY ALL""",
+        "bronze_loaded_now": f"""WITH {READINGS}
+            SELECT location_id, observation_date, source, true AS loaded_in_this_run FROM readings""",
+        "day_probes": f"""WITH {READINGS}, edge AS (SELECT min(observation_date) AS first FROM readings)
+            SELECT 'first day' AS probe,
+              EXISTS (SELECT 1 FROM readings, edge WHERE observation_date = first) AS has_rows
+            UNION ALL SELECT 'day before',
+              EXISTS (SELECT 1 FROM readings, edge WHERE observation_date = first - 1)
+            UNION ALL SELECT 'no table', false""",
+        "required_tables": f"""WITH {READINGS}
+            SELECT 'stored' AS table_name, count(*) AS n_rows, 'none' AS error FROM readings
+            UNION ALL SELECT 'missing', 0, 'DataSourceUnavailable'
+            UNION ALL SELECT 'required by SQL', 0, 'DataSourceUnavailable'""",
+        "run_samples": f"""WITH {SILVER}
+            SELECT CAST(ingest_date AS VARCHAR) AS partition_key, location_id, source, tavg_c, prcp_mm
+            FROM silver QUALIFY row_number() OVER (PARTITION BY ingest_date
+              ORDER BY location_id, source, tavg_c NULLS FIRST, prcp_mm NULLS FIRST) <= 5""",
+        "publish_routed": f"""WITH {PASSING}
+            SELECT region_id, source, observation_date, ingest_date, {MEASURES}, false AS in_default
+            FROM gold""",
         "bronze_load_report": f"""WITH {READINGS}, {SPINE}, places AS (
             SELECT DISTINCT location_id FROM readings WHERE latitude >= -80),
             expected AS (SELECT location_id, observation_date FROM places
@@ -349,6 +373,43 @@ def all_oracles() -> dict[str, str]:
               CASE WHEN date_diff('day', observation_date, DATE '2024-05-20') >= days_kept
                    THEN 'cold' ELSE 'standard' END AS tier
             FROM days, layers""",
+        "retention_inventory": f"""WITH {PASSING}, stored(layer, observation_date, days_kept) AS (
+              SELECT DISTINCT 'bronze', observation_date, 60 FROM readings
+              UNION SELECT 'silver', observation_date, 120 FROM passing
+              UNION SELECT 'gold', observation_date, 365 FROM gold)
+            SELECT layer, observation_date,
+              CAST(date_diff('day', observation_date, DATE '2024-05-20') AS INTEGER) AS age_days,
+              CASE WHEN date_diff('day', observation_date, DATE '2024-05-20') >= days_kept
+                   THEN 'cold' ELSE 'standard' END AS tier, true AS has_files
+            FROM stored""",
+        "emptied_days_removed": f"""WITH {PASSING}
+            SELECT 'silver' AS layer, ingest_date, count(*) AS n_rows FROM passing
+            WHERE ingest_date <> DATE '2024-01-05' GROUP BY ingest_date
+            UNION ALL SELECT 'gold', ingest_date, count(*) FROM gold
+            WHERE ingest_date <> DATE '2024-01-05' GROUP BY ingest_date""",
+        "audited_silver_rows": f"WITH {PASSING} SELECT {SILVER_SHOWN} FROM passing",
+        "audited_report": _silver_report("observation_date"),
+        "audited_gold_rows": f"WITH {PASSING} SELECT {GOLD_COLUMNS} FROM gold",
+        "gold_from_partials": f"WITH {PASSING} SELECT {GOLD_COLUMNS} FROM gold",
+        "stream_gold_partials": f"WITH {PASSING} SELECT {GOLD_COLUMNS} FROM gold",
+        "distinct_regions_sketch": f"""{gold} CAST(date_trunc('week', ingest_date) AS DATE) AS week,
+              count(DISTINCT region_id) AS exact_regions, true AS within_bound FROM gold GROUP BY ALL
+            UNION ALL SELECT NULL, count(DISTINCT region_id), true FROM gold""",
+        "bucketed_rolling_windows": _gold_rolling((7, 30)),
+        "bucketed_region_windows": _gold_rolling((3, 14), "WHERE region_id = 'LOC7'"),
+        "stream_alert_open_silence": """WITH seen AS (
+            SELECT user_id, max(ts) AS last_seen FROM events GROUP BY user_id)
+            SELECT user_id, last_seen,
+                   date_diff('microsecond', last_seen, TIMESTAMP '2024-01-31 00:00:00')
+                     / CAST(1000000 AS DOUBLE) AS age_seconds,
+                   TIMESTAMP '2024-01-31 00:00:00' - last_seen > INTERVAL 86400 SECOND AS stale
+            FROM seen""",
+        "stream_late_events": """WITH closed AS (
+            SELECT max(ts) - INTERVAL 10 MINUTE AS mark FROM events
+            WHERE ts < TIMESTAMP '2024-01-11 00:00:00' OR event_id % 10 <> 9)
+            SELECT event_id, ts, ts >= TIMESTAMP '2024-01-11 00:00:00' AND event_id % 10 = 9
+              AND time_bucket(INTERVAL 300 SECOND, ts) + INTERVAL 300 SECOND <= mark AS late
+            FROM events, closed""",
         "orphan_files": f"""WITH {READINGS} SELECT DISTINCT observation_date AS orphan_day
             FROM readings WHERE observation_date > DATE '2024-01-20'
               AND observation_date <= DATE '2024-01-25'""",

@@ -14,7 +14,8 @@ from typing import Literal
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from daylake.naming import table_name
-from daylake.operators.bronze import bronze_rows, load_report, readings_for_locations
+from daylake.errors import UnknownPlaces
+from daylake.operators.bronze import bronze_rows, load_report, readings_with_places
 from daylake.operators.contracts import (
     GOLD_SUITE,
     SILVER_SUITE,
@@ -25,7 +26,7 @@ from daylake.operators.contracts import (
     failing_rows,
     passing_rows,
 )
-from daylake.operators.days import BackfillRequest, DayRange, location_date_grid, missing_days
+from daylake.operators.days import BackfillRequest, DayRange, missing_days
 from daylake.operators.gold import gold_summary
 from daylake.operators.silver import silver_features
 from daylake.schemas import BRONZE, GOLD, SILVER
@@ -33,6 +34,7 @@ from daylake.session import stage, staged
 from daylake.sinks.serving import Sink, publish_table
 from daylake.sinks.tables import (
     drop_day_folders,
+    drop_days,
     export_parquet,
     persist,
     replace_partitions,
@@ -125,18 +127,49 @@ def load_bronze(
     *,
     source: str | Column = "openmeteo",
     ingested_at: datetime | Column | None = None,
+    on_failure: OnFailure = "raise",
 ) -> DataFrame:
     """Parsed readings of the range, with coordinates, as bronze days.
 
-    Returns the load report (lazily evaluated): pairs of place and day without a
-    reading, and readings of places that the dimension lacks.
+    The readings are read once: rows of known and of unknown places come from one staged
+    join, and so does the load report, which is written before bronze is.  Readings of
+    places that the dimension lacks raise :class:`UnknownPlaces` before anything is
+    written, or, with ``on_failure="quarantine"``, are stored as bronze rows without
+    coordinates (:func:`unknown_places_folder`); a day that has none any more leaves it.
+    Returns the stored report: also pairs of place and day without a reading.
     """
+    _place_for(on_failure, lake)
     wanted = readings.where(days.contains("observation_date"))
-    rows = bronze_rows(
-        readings_for_locations(wanted, locations), source=source, ingested_at=ingested_at
-    )
-    replace_partitions(rows, lake.bronze)
-    return load_report(wanted, location_date_grid(locations, days.start, days.end))
+    kept = [c for c in wanted.columns if c not in ("latitude", "longitude", "known_place")]
+    origin = source if isinstance(source, Column) else F.lit(source)
+    placed = readings_with_places(wanted.select(*kept).withColumn("_origin", origin), locations)
+    with staged(placed, "readings") as rows:
+        report = stage(load_report(rows, locations, days), "load-report")
+        unknown = report.where(F.col("problem") == "unknown place")
+        some_unknown = not unknown.isEmpty()
+        if some_unknown and on_failure == "raise":
+            first = unknown.orderBy("location_id", "observation_date").limit(20)
+            shown = [(r[0], r[1], r[2]) for r in first.select("location_id", "observation_date", "readings").collect()]
+            raise UnknownPlaces(shown, unknown.count(), report)
+
+        def typed(part: DataFrame) -> DataFrame:
+            return bronze_rows(part, source=F.col("_origin"), ingested_at=ingested_at)
+
+        if some_unknown:
+            aside = typed(rows.where(~F.col("known_place")))
+            export_parquet(aside, unknown_places_folder(lake), ["ingest_date"])
+        replace_partitions(typed(rows.where("known_place")), lake.bronze)
+        if lake.quarantine:
+            sound = rows.groupBy(F.to_date("observation_date").alias("ingest_date")).agg(
+                F.bool_and("known_place").alias("_sound")
+            )
+            drop_day_folders(sound.where("_sound"), unknown_places_folder(lake))
+    return report
+
+
+def unknown_places_folder(lake: Lake) -> str:
+    """Where readings of unknown places are kept, as bronze rows by day."""
+    return f"{lake.quarantine.rstrip('/')}/bronze_unknown_places"
 
 
 def _rows_of(
@@ -154,7 +187,9 @@ def _gate(rows: DataFrame, suite: Suite, lake: Lake) -> tuple[DataFrame, DataFra
     passes, the rows are neither split nor read once more.
     """
     if lake.samples:
-        write_samples(contract_sample(rows, suite, by="ingest_date"), lake.samples)
+        # Ordered by all that tells rows apart, so that a rerun stores the same sample.
+        order = [c for c in rows.columns if c not in ("ingest_date", "ingested_at")]
+        write_samples(contract_sample(rows, suite, order, by="ingest_date"), lake.samples)
     report = stage(contract_report(rows, suite, by="ingest_date"), "contract-report")
     if report.where(~F.col("passed")).isEmpty():
         return rows, report
@@ -168,7 +203,7 @@ def _quarantine(lake: Lake, suite: Suite) -> str:
     return f"{lake.quarantine.rstrip('/')}/{suite.name}"
 
 
-def _release(report: DataFrame, lake: Lake, suite: Suite) -> None:
+def release(report: DataFrame, lake: Lake, suite: Suite) -> None:
     """Days that pass now leave the quarantine."""
     if lake.quarantine:
         drop_day_folders(passing_rows(report, report, by="ingest_date"), _quarantine(lake, suite))
@@ -204,7 +239,7 @@ def build_silver(
         export_partition_by=("ingest_date",),
         keep_layout=True,
     )
-    _release(report, lake, SILVER_SUITE)
+    release(report, lake, SILVER_SUITE)
     if on_failure == "raise":
         enforce(report)
     return report
@@ -238,12 +273,25 @@ def build_gold(
             export_path=_export(lake, "gold"),
             export_partition_by=("ingest_date",),
         )
-    _release(report, lake, GOLD_SUITE)
+    release(report, lake, GOLD_SUITE)
     if on_failure == "raise":
         enforce(report)
     return report
 
 
+def remove_emptied(spark: SparkSession, lake: Lake, days: DayRange) -> None:
+    """Remove silver days of the range that bronze has no rows of, and then gold days that
+    silver has none of.  Only partition columns are read.  Exports keep their copies."""
+    for source, target in ((lake.bronze, lake.silver), (lake.silver, lake.gold)):
+        present, derived = source.read_if_exists(spark), target.read_if_exists(spark)
+        if present is None or derived is None:
+            continue
+        kept = present.where(days.contains("ingest_date")).select("ingest_date").distinct()
+        stored = derived.where(days.contains("ingest_date")).select("ingest_date").distinct()
+        # Distinct dates: bounded by the calendar.
+        drop_days(stored.join(F.broadcast(kept), "ingest_date", "left_anti"), target)
+
+
 def _export(lake: Lake, layer: str) -> str | None:
     return f"{lake.exports.rstrip('/')}/{TABLE_NAMES[layer]}" if lake.exports else None
 
@@ -258,19 +306,31 @@ def run_window(
     source: str | Column = "openmeteo",
     ingested_at: datetime | Column | None = None,
     on_failure: OnFailure = "raise",
+    drop_emptied: bool = False,
 ) -> RunReports:
     """Bronze (when readings are given), silver, gold and publishing of a range.
 
     Days that fail a contract go no further: neither is their gold built nor anything
-    of theirs published.  Returns what was checked.
+    of theirs published.  ``drop_emptied`` also removes silver and gold of days that have
+    no source rows any more (:func:`remove_emptied`); they stay otherwise.  Returns what
+    was checked.
     """
     loaded = None
     if readings is not None:
         if locations is None:
             raise ValueError("readings need a location dimension")
         loaded = load_bronze(
-            spark, lake, readings, locations, days, source=source, ingested_at=ingested_at
+            spark,
+            lake,
+            readings,
+            locations,
+            days,
+            source=source,
+            ingested_at=ingested_at,
+            on_failure=on_failure,
         )
+    if drop_emptied:
+        remove_emptied(spark, lake, days)
     silver = build_silver(spark, lake, days, on_failure=on_failure)
     gold = build_gold(spark, lake, days, on_failure=on_failure, failed=silver)
     if lake.targets:

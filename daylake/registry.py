@@ -10,10 +10,11 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from datetime import date, datetime, timedelta
+from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from daylake.errors import DataSourceUnavailable
 from daylake.functions import (
     cooling_degree_days,
     growing_degree_days,
@@ -36,27 +37,47 @@ from daylake.operators.gold import gold_summary
 from daylake.operators.rolling import rolling_windows
 from daylake.operators.shaping import dates_as_text, json_records, serving_shape
 from daylake.operators.silver import silver_features
+from daylake.operators.partials import (
+    SKETCHES,
+    distinct_regions,
+    failing_days,
+    merged_gold,
+    partials_at,
+    region_sketches,
+)
+from daylake.plans.audited import audited_gold, audited_silver
 from daylake.plans.lake import (
     TABLE_NAMES,
     Lake,
     build_silver,
     days_to_run,
     in_range,
+    load_bronze,
     run_backfill,
     run_lookback,
     run_missing,
     run_window,
+    unknown_places_folder,
 )
-from daylake.schemas import GOLD, SILVER
+from daylake.schemas import BRONZE, GOLD, SILVER
 from daylake.session import stage, working_dir
 from daylake.sinks import files
-from daylake.sinks.serving import DaySink, JsonSink, MonthSink, serving_by_day, serving_by_month
-from daylake.sinks.tables import export_parquet, replace_partitions
+from daylake.sinks.serving import (
+    DaySink,
+    JsonSink,
+    MonthSink,
+    serving_by_day,
+    serving_by_month,
+    serving_by_region,
+)
+from daylake.sinks.tables import drop_days, export_parquet, quoted, replace_partitions
 from daylake.sources.locations import read_locations
 from daylake.sources.replies import bad_replies, daily_readings, first_reading
-from daylake.sources.tables import Table, read_day, run_query
+from daylake.sources.tables import Table, has_day, read_day, run_query
 from daylake.streaming.alerts import stream_absence, stream_count_above, stream_error_rate
-from daylake.streaming.refresh import start_refresh
+from daylake.streaming.late import split_events, start_late_split
+from daylake.streaming.refresh import merge_load, start_partial_refresh, start_refresh
+from daylake.streaming.silence import compact_last_seen, last_seen, open_silences, start_last_seen
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -232,7 +253,110 @@ def parse_bad_replies(spark, sf_dir):
 def bronze_load_report(spark, sf_dir):
     """Readings against a dimension that lacks some places, on every day of a range."""
     known = locations(spark, sf_dir).where("latitude >= -80")
-    return load_report(readings(spark, sf_dir), location_date_grid(known, FIRST, LAST))
+    return load_report(readings(spark, sf_dir), known, DayRange(FIRST, LAST))
+
+
+@_query
+def load_places_aside(spark, sf_dir):
+    """Rows by day and place after a load whose dimension lacks places: those of known
+    ones in bronze, the others aside, none lost."""
+    root = working_dir(spark, "lake")
+    lake = Lake.at_path(root, quarantine=f"{root}/quarantine")
+    load_bronze(
+        spark,
+        lake,
+        readings(spark, sf_dir).drop("latitude", "longitude"),
+        locations(spark, sf_dir).where("latitude >= -80"),
+        whole_range(spark, sf_dir),
+        source=F.col("source"),
+        on_failure="quarantine",
+    )
+    aside = spark.read.schema(BRONZE).parquet(unknown_places_folder(lake))
+    both = lake.bronze.read(spark).withColumn("stored_in", F.lit("bronze")).unionByName(
+        aside.withColumn("stored_in", F.lit("aside"))
+    )
+    return both.groupBy("ingest_date", "location_id", "stored_in").agg(
+        F.count("*").alias("n_rows"), F.count("latitude").alias("n_placed")
+    )
+
+
+@_query
+def bronze_loaded_now(spark, sf_dir):
+    """Bronze rows of a load that is given no time, and whether they carry the run's."""
+    root = working_dir(spark, "lake")
+    lake = Lake.at_path(root)
+    started = F.lit(datetime.now(timezone.utc) - timedelta(minutes=1))
+    load_bronze(
+        spark,
+        lake,
+        readings(spark, sf_dir).drop("latitude", "longitude"),
+        locations(spark, sf_dir),
+        whole_range(spark, sf_dir),
+        source=F.col("source"),
+    )
+    recent = F.col("ingested_at").between(started, F.current_timestamp())
+    return lake.bronze.read(spark).select(
+        "location_id", "observation_date", "source", recent.alias("loaded_in_this_run")
+    )
+
+
+@_query
+def day_probes(spark, sf_dir):
+    """Whether days have rows: one within the readings, one before them, one in a table
+    that does not exist."""
+    days, stored = whole_range(spark, sf_dir), _loaded_lake(spark, sf_dir).bronze
+    missing = Lake.at_path(working_dir(spark, "no-lake")).bronze
+    found = [
+        ("first day", has_day(spark, stored, days.start, "ingest_date")),
+        ("day before", has_day(spark, stored, days.start - timedelta(days=1), "ingest_date")),
+        ("no table", has_day(spark, missing, days.start, "ingest_date")),
+    ]
+    return spark.createDataFrame(found, "probe string, has_rows boolean")
+
+
+@_query
+def required_tables(spark, sf_dir):
+    """The rows of tables that must exist, or the error's name where one does not."""
+
+    def outcome(name: str, read: Callable[[], DataFrame]) -> DataFrame:
+        try:
+            rows = read()
+        except DataSourceUnavailable as missing:
+            error = type(missing).__name__
+            return spark.range(1).select(F.lit(name).alias("table_name"), F.lit(0).cast("long").alias("n_rows"), F.lit(error).alias("error"))
+        return rows.agg(F.count("*").alias("n_rows")).select(F.lit(name).alias("table_name"), "n_rows", F.lit("none").alias("error"))
+
+    there, missing = _loaded_lake(spark, sf_dir), Lake.at_path(working_dir(spark, "no-lake"))
+    absent = f"no_database_{uuid.uuid4().hex}.bronze"
+    return (
+        outcome("stored", lambda: there.bronze.read(spark))
+        .union(outcome("missing", lambda: missing.bronze.read(spark)))
+        .union(outcome("required by SQL", lambda: run_query(spark, f"SELECT * FROM {absent}", requires=[absent])))
+    )
+
+
+@_query
+def run_samples(spark, sf_dir):
+    """The samples that a run stores: the same rows each time."""
+    root = working_dir(spark, "side")
+    lake = _loaded_lake(spark, sf_dir, samples=f"{root}/samples")
+    build_silver(spark, lake, whole_range(spark, sf_dir), on_failure="quarantine")
+    stored = spark.read.parquet(f"{lake.samples}/suite={contracts.SILVER_SUITE.name}")
+    return stored.select(
+        F.col("partition_key").cast("string").alias("partition_key"), "location_id", "source", "tavg_c", "prcp_mm"
+    )
+
+
+@_query
+def publish_routed(spark, sf_dir):
+    """A run of the ``prod`` environment, which has a target of its own."""
+    root = working_dir(spark, "lake")
+    prod = DaySink(serving_by_day(path=f"{root}/prod"))
+    other = DaySink(serving_by_day(path=f"{root}/other"))
+    lake = _loaded_lake(spark, sf_dir, env="PROD", targets={"prod": prod, "default": other})
+    run_window(spark, lake, whole_range(spark, sf_dir), on_failure="quarantine")
+    rows = _comparable(prod.table.read(spark))
+    return rows.withColumn("in_default", F.lit(other.table.exists(spark)))
 
 
 @_query
@@ -301,7 +425,7 @@ def location_date_grid_counts(spark, sf_dir):
 
 @_query
 def parametrised_query(spark, sf_dir):
-    view = f"gold_{uuid.uuid4().hex}"
+    view = "gold_days"
     gold(spark, sf_dir).createOrReplaceTempView(view)
     rows = run_query(
         spark,
@@ -553,6 +677,21 @@ def _revised_day(rows: DataFrame, measure: str) -> DataFrame:
     return day.withColumn(measure, F.col(measure) + F.lit(1.0))
 
 
+def _catalog_lake(spark: SparkSession, label: str, **options) -> Lake:
+    """An empty lake in the catalog at a new place; the tables that an earlier run of the
+    query left under these names are dropped."""
+    root = working_dir(spark, f"catalog-{label}")
+    lake = Lake.in_catalog(env=f"query-{label}", root=root, quarantine=f"{root}/quarantine", **options)
+    for stored in (lake.bronze, lake.silver, lake.gold):
+        _dropped(spark, stored.name)
+    return lake
+
+
+def _dropped(spark: SparkSession, name: str) -> str:
+    spark.sql(f"DROP DATABASE IF EXISTS {quoted(name.rsplit('.', 1)[0])} CASCADE")
+    return name
+
+
 @_query
 def upsert_partitions(spark, sf_dir):
     target = _table_at(spark, "silver", SILVER, sort_by=("location_id",))
@@ -564,8 +703,7 @@ def upsert_partitions(spark, sf_dir):
 
 @_query
 def upsert_catalog_table(spark, sf_dir):
-    root = working_dir(spark, "catalog")
-    target = Lake.in_catalog(env=f"q-{uuid.uuid4().hex}", root=root).silver
+    target = _catalog_lake(spark, "upsert").silver
     rows = silver(spark, sf_dir)
     replace_partitions(rows, target)
     replace_partitions(_revised_day(rows, "prcp_mm"), target)
@@ -605,7 +743,7 @@ def _publish_twice(spark: SparkSession, sf_dir: str, sink) -> DataFrame:
 @_query
 def publish_month_catalog(spark, sf_dir):
     """Days replaced in a catalog table kept by month."""
-    name = f"q_{uuid.uuid4().hex}.serving"
+    name = _dropped(spark, "query_month.serving")
     sink = MonthSink(serving_by_month(name, working_dir(spark, "serving-catalog")))
     return _comparable(_publish_twice(spark, sf_dir, sink))
 
@@ -703,12 +841,145 @@ def retention_tier(spark, sf_dir):
     return retention_tiers(days.select(layers.alias("layer"), "observation_date"), "2024-05-20")
 
 
+@_query
+def retention_inventory(spark, sf_dir):
+    """Tier of every stored day of each layer, from its files."""
+    lake = _loaded_lake(spark, sf_dir)
+    run_window(spark, lake, whole_range(spark, sf_dir), on_failure="quarantine")
+    stored = files.partition_inventory(
+        spark, {"bronze": lake.bronze, "silver": lake.silver, "gold": lake.gold}
+    )
+    tiers = retention_tiers(stored, "2024-05-20")
+    return tiers.select(
+        "layer", "observation_date", "age_days", "tier", (F.least("files", "bytes") > 0).alias("has_files")
+    )
+
+
+@_query
+def emptied_days_removed(spark, sf_dir):
+    """Gold by day after a day's readings were withdrawn and its lake run again."""
+    lake, days = _loaded_lake(spark, sf_dir), whole_range(spark, sf_dir)
+    run_window(spark, lake, days, on_failure="quarantine")
+    withdrawn = lake.bronze.read(spark).where(F.col("ingest_date") == F.lit(DAY)).select("ingest_date")
+    drop_days(withdrawn, lake.bronze)
+    run_window(spark, lake, days, on_failure="quarantine", drop_emptied=True)
+    layers = [lake.silver.read(spark).select(F.lit("silver").alias("layer"), "ingest_date")]
+    layers.append(lake.gold.read(spark).select(F.lit("gold").alias("layer"), "ingest_date"))
+    return layers[0].union(layers[1]).groupBy("layer", "ingest_date").agg(F.count("*").alias("n_rows"))
+
+
+# ---------------------------------------------------------------- write, audit, publish
+
+
+def _audited_lake(spark: SparkSession, sf_dir: str, label: str) -> Lake:
+    lake = _catalog_lake(spark, label)
+    replace_partitions(bronze(spark, sf_dir), lake.bronze)
+    return lake
+
+
+@_query
+def audited_silver_rows(spark, sf_dir):
+    """Silver written aside, audited and published, twice: the second run switches days."""
+    lake = _audited_lake(spark, sf_dir, "audited-silver")
+    for _ in range(2):
+        audited_silver(spark, lake, whole_range(spark, sf_dir), on_failure="quarantine")
+    return _comparable(lake.silver.read(spark))
+
+
+@_query
+def audited_report(spark, sf_dir):
+    """What the write of silver observed, as a contract report."""
+    lake = _audited_lake(spark, sf_dir, "audited-report")
+    return _shown_report(audited_silver(spark, lake, whole_range(spark, sf_dir), on_failure="quarantine"))
+
+
+@_query
+def audited_gold_rows(spark, sf_dir):
+    lake, days = _audited_lake(spark, sf_dir, "audited-gold"), whole_range(spark, sf_dir)
+    audited_silver(spark, lake, days, on_failure="quarantine")
+    audited_gold(spark, lake, days, on_failure="quarantine")
+    return _comparable(lake.gold.read(spark))
+
+
+# ---------------------------------------------------------------- merged aggregates
+
+
+def _arrivals(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """Bronze in three loads, each with readings of all days."""
+    rows = bronze(spark, sf_dir)
+    share = F.pmod(F.xxhash64("location_id", "source"), F.lit(3))
+    return [rows.where(share == k) for k in range(3)]
+
+
+@_query
+def gold_from_partials(spark, sf_dir):
+    """Gold merged from the partials of three loads, one of which came twice."""
+    lake = Lake.at_path(working_dir(spark, "lake"))
+    stored = partials_at(working_dir(spark, "partials"))
+    arrivals = _arrivals(spark, sf_dir)
+    for k in (0, 1, 1, 2):
+        merge_load(spark, lake, stored, arrivals[k], f"load-{k}")
+    rows = stored.read(spark)
+    return _comparable(merged_gold(rows.join(failing_days(rows), "ingest_date", "left_anti")))
+
+
+@_query
+def stream_gold_partials(spark, sf_dir):
+    """Gold kept by a stream that reads each bronze file once; days that fail are left out."""
+    lake = Lake.at_path(working_dir(spark, "lake"))
+    stored, state = partials_at(working_dir(spark, "partials")), working_dir(spark, "partials-state")
+    for rows in _arrivals(spark, sf_dir):
+        rows.write.mode("append").partitionBy("ingest_date").parquet(lake.bronze.path)
+        start_partial_refresh(spark, lake, stored, state).awaitTermination()
+    failing = failing_days(stored.read(spark))
+    return _comparable(lake.gold.read(spark).join(failing, "ingest_date", "left_anti"))
+
+
+@_query
+def distinct_regions_sketch(spark, sf_dir):
+    """Regions by week and over all days, estimated from sketches of days; with the exact
+    number, counted for comparison."""
+    path = working_dir(spark, "sketches")
+    region_sketches(gold(spark, sf_dir)).write.parquet(path)
+    sketches = spark.read.schema(SKETCHES).parquet(path)
+    week = F.date_trunc("week", "ingest_date").cast("date").alias("week")
+    whole = F.lit(None).cast("date").alias("week")
+    estimated = distinct_regions(sketches, week).union(distinct_regions(sketches, whole))
+    rows = gold(spark, sf_dir)
+    exact = [rows.groupBy(by).agg(F.count_distinct("region_id").alias("exact_regions")) for by in (week, whole)]
+    both = estimated.join(exact[0].union(exact[1]).withColumnRenamed("week", "_week"), F.col("week").eqNullSafe(F.col("_week")))
+    close = F.abs(F.col("regions") - F.col("exact_regions")) <= 0.05 * F.col("exact_regions")
+    return both.select("week", "exact_regions", close.alias("within_bound"))
+
+
+def _bucketed(spark: SparkSession, sf_dir: str, label: str) -> Table:
+    name = _dropped(spark, f"query_{label}.serving")
+    sink = MonthSink(serving_by_region(name, working_dir(spark, "serving-region"), 8))
+    rows = stage(gold(spark, sf_dir), "gold")
+    days = whole_range(spark, sf_dir)
+    sink.publish(rows, days)
+    sink.publish(rows, DayRange(days.end, days.end))  # a day again
+    return sink.table
+
+
+@_query
+def bucketed_rolling_windows(spark, sf_dir):
+    """Rolling windows over the table that is bucketed by region: no shuffle."""
+    return _comparable(rolling_windows(_bucketed(spark, sf_dir, "buckets").read(spark)))
+
+
+@_query
+def bucketed_region_windows(spark, sf_dir):
+    """One region, read from one bucket."""
+    rows = rolling_windows(_bucketed(spark, sf_dir, "bucket").read(spark), (3, 14), region=REGION)
+    return _comparable(rows)
+
+
 @_query
 def orphan_files(spark, sf_dir):
     """Days written below a catalog table's location without being registered, at a time
     when the later ones are still too young to be reported."""
-    root = working_dir(spark, "orphans")
-    registered = Lake.in_catalog(env=f"q-{uuid.uuid4().hex}", root=root).silver
+    registered = _catalog_lake(spark, "orphans").silver
     rows = silver(spark, sf_dir)
     split = F.lit(date(2024, 1, 20))
     replace_partitions(rows.where(F.col("ingest_date") <= split), registered)
@@ -716,13 +987,11 @@ def orphan_files(spark, sf_dir):
     later = F.lit(date(2024, 1, 25))
     unregistered = rows.where(F.col("ingest_date") > split)
     replace_partitions(unregistered.where(F.col("ingest_date") <= later), stray)
-    listed = files.list_files(spark, registered.path)
+    listed = files.files_of(spark, [("silver", f) for f in files.day_folders(spark, registered)])
     newest = listed.agg(F.max("modificationTime")).first()[0] or datetime(2024, 1, 1)
     replace_partitions(unregistered.where(F.col("ingest_date") > later), stray)
-    found = files.orphan_files(
-        files.list_files(spark, registered.path),
-        files.live_files(spark.read.table(registered.name)),
-        newest + SAFETY_HORIZON + timedelta(milliseconds=1),
+    found = files.stray_files(
+        spark, registered, newest + SAFETY_HORIZON + timedelta(milliseconds=1)
     )
     day = F.regexp_extract("path", "ingest_date=([0-9-]+)/", 1)
     return found.select(F.to_date(day).alias("orphan_day")).distinct()
@@ -822,3 +1091,27 @@ def stream_alert_absence(spark, sf_dir):
     """Sessions closed when the stream has been drained."""
     result = stream_absence(_event_stream(spark, sf_dir), ["user_id"], 86_400)
     return _comparable(_run_stream(spark, result, "absence"))
+
+
+@_query
+def stream_alert_open_silence(spark, sf_dir):
+    """Users that are silent at an instant, from the last event times a stream kept."""
+    path, key = working_dir(spark, "last-seen"), ["user_id"]
+    start_last_seen(_event_stream(spark, sf_dir), key, path, working_dir(spark, "last-seen-state")).awaitTermination()
+    schema = "user_id bigint, last_seen timestamp_ntz"
+    compact_last_seen(spark, path, schema, key)
+    return open_silences(last_seen(spark, path, schema), key, datetime(2024, 1, 31))
+
+
+@_query
+def stream_late_events(spark, sf_dir):
+    """Every event, and whether it came behind the watermark: the events of the first ten
+    days, then nine in ten of the others, then the rest, each in a batch."""
+    events, landing = table(spark, sf_dir, "events"), working_dir(spark, "arrivals")
+    path, state = working_dir(spark, "late"), working_dir(spark, "late-state")
+    early, tenth = F.col("ts") < F.lit("2024-01-11").cast("timestamp_ntz"), F.col("event_id") % 10 == 9
+    for part in (early, ~early & ~tenth, ~early & tenth):
+        events.where(part).write.mode("append").parquet(landing)
+        stream = spark.readStream.schema(events.schema).parquet(landing)
+        start_late_split(stream, path, state).awaitTermination()
+    return split_events(spark, path, events.schema).select("event_id", "ts", "late")

@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql.types import (
     ArrayType,
+    BooleanType,
     DateType,
     DoubleType,
     FloatType,
     IntegerType,
+    LongType,
     StringType,
     StructField,
     StructType,
@@ -87,6 +89,20 @@ SERVING_FLOAT32 = StructType(
 # The serving table as stored by month.
 SERVING_BY_MONTH = StructType([*SERVING, StructField("month", IntegerType(), True)])
 
+# Sums and counts of a load, by region, day and source: what gold and the silver contract
+# of a day follow from.
+PARTIALS = StructType(
+    [
+        *_schema(("location_id", _TEXT), ("observation_date", _DAY), ("source", _TEXT)),
+        *[
+            StructField(f"{kind}_{measure}", _NUM if kind == "sum" else LongType(), True)
+            for measure in ("tavg_c", "hdd18", "cdd18", "prcp_mm")
+            for kind in ("sum", "n")
+        ],
+        *_schema(("wet", BooleanType()), ("broken", LongType()), ("ingest_date", _DAY), ("load", _TEXT)),
+    ]
+)
+
 # A landed reply of the daily weather service: parallel arrays, one entry a day.
 DAILY_REPLY = _schema(
     (

@@ -22,6 +22,7 @@ SESSION_SETTINGS: dict[str, str] = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
     # Recording the Python call site of every expression costs a third of the time
     # it takes to build a query; it only adds context to error messages.
     "spark.python.sql.dataFrameDebugging.enabled": "false",

@@ -41,6 +41,24 @@ def serving_by_month(name: str | None = None, path: str | None = None) -> Table:
     )
 
 
+def serving_by_region(name: str, path: str | None = None, buckets: int = 64) -> Table:
+    """Serving table kept by month and bucketed by region: windows over a region's days
+    need no shuffle, and a region is read from one bucket.  For :class:`MonthSink`.
+
+    One region's rows of all time are one bucket's, so its size grows with the days and
+    the regions a bucket, never with the observations.
+    """
+    return Table(
+        SERVING_BY_MONTH,
+        ("month",),
+        name,
+        path,
+        sort_by=("region_id", "observation_date"),
+        bucket_by=("region_id",),
+        buckets=buckets,
+    )
+
+
 @dataclass(frozen=True)
 class DaySink:
     """Truncate each published day and load it again."""

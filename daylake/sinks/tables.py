@@ -29,22 +29,35 @@ def lay_out(df: DataFrame, partition_by: Sequence[str], sort_by: Sequence[str] =
     return spread.sortWithinPartitions(*partition_by, *sort_by)
 
 
+def quoted(name: str) -> str:
+    """A table or database name with each of its parts in backquotes."""
+    return ".".join(f"`{part.replace('`', '``')}`" for part in name.split("."))
+
+
+def text_literal(text: str) -> str:
+    escaped = text.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
 def ensure_table(spark: SparkSession, table: Table) -> None:
     """Create database and table if they do not exist (nothing to do for a path)."""
     if not table.name:
         return
     database = table.name.rsplit(".", 1)[0] if "." in table.name else None
     if database:
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {quoted(database)}")
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in table.schema)
     parts = ", ".join(f"`{c}`" for c in table.partition_by)
-    statement = [f"CREATE TABLE IF NOT EXISTS {table.name} ({columns}) USING {table.provider}"]
+    statement = [f"CREATE TABLE IF NOT EXISTS {quoted(table.name)} ({columns}) USING {table.provider}"]
     if table.provider in _FILE_PROVIDERS:
         statement.append("OPTIONS (partitionOverwriteMode 'dynamic')")
     statement.append(f"PARTITIONED BY ({parts})")
+    if table.bucket_by:
+        clustered = ", ".join(f"`{c}`" for c in table.bucket_by)
+        ordered = ", ".join(f"`{c}`" for c in table.sort_by)
+        statement.append(f"CLUSTERED BY ({clustered}) SORTED BY ({ordered}) INTO {table.buckets} BUCKETS")
     if table.path:
-        quoted = table.path.replace("\\", "\\\\").replace("'", "\\'")
-        statement.append(f"LOCATION '{quoted}'")
+        statement.append(f"LOCATION {text_literal(table.path)}")
     spark.sql(" ".join(statement))
 
 
@@ -67,7 +80,7 @@ def _is_dynamic(spark: SparkSession, table: Table) -> bool:
     mode = spark.conf.get("spark.sql.sources.partitionOverwriteMode", "STATIC")
     if mode.lower() == "dynamic":
         return True
-    detail = spark.sql(f"DESCRIBE TABLE EXTENDED {table.name}")
+    detail = spark.sql(f"DESCRIBE TABLE EXTENDED {quoted(table.name)}")
     storage = detail.where(F.col("col_name") == "Storage Properties").select("data_type").head()
     return bool(storage) and "partitionoverwritemode=dynamic" in storage[0].lower()
 
@@ -80,7 +93,11 @@ def replace_partitions(df: DataFrame, table: Table, *, keep_layout: bool = False
     that is already laid out by the same partition.
     """
     rows = conform(df, table.schema)
-    if not keep_layout:
+    if table.bucket_by:
+        # By the hash that buckets go by: a bucket is written by one task, as one file in
+        # each partition.
+        rows = rows.repartition(table.buckets, *table.bucket_by)
+    elif not keep_layout:
         rows = lay_out(rows, table.partition_by, table.sort_by)
     if table.name:
         _write_catalog_table(rows, table)
@@ -141,6 +158,21 @@ def write_samples(samples: DataFrame, path: str) -> None:
     )
 
 
+def drop_days(df: DataFrame, table: Table) -> None:
+    """Remove the table's partitions of the days in ``df`` (bounded by the calendar)."""
+    (by,) = table.partition_by
+    if not table.name:
+        drop_day_folders(df, table.path, by)
+        return
+    days = [r[0] for r in df.select(by).distinct().collect()]
+    if not days:
+        return
+    parts = ", ".join(f"PARTITION (`{by}` = DATE '{day}')" for day in days)
+    df.sparkSession.sql(f"ALTER TABLE {quoted(table.name)} DROP IF EXISTS {parts}")
+    if table.path:
+        drop_day_folders(df, table.path, by)
+
+
 def drop_day_folders(df: DataFrame, path: str, column: str = "ingest_date") -> None:
     """Remove the folders ``column=day`` below ``path`` for the days in ``df``.
 

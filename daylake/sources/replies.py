@@ -30,9 +30,11 @@ def _parsed(replies: DataFrame, body: str) -> DataFrame:
     """Replies with ``_daily`` and ``_problem`` (null for a sound reply).
 
     A value array shorter than ``time`` is sound: the values of its last days are null.
+    The parsed reply and its problem come from generators of one row each, which the
+    optimiser does not copy into every place that uses them: a reply is parsed once.
     """
     read = F.from_json(F.col(body), _REPLY, {"columnNameOfCorruptRecord": _CORRUPT})
-    parsed = replies.withColumn("_reply", read)
+    parsed = replies.select("*", F.explode(F.array(read)).alias("_reply"))
     daily = F.col("_reply.daily")
     arrays = [daily.getField(f.name) for f in DAILY_REPLY["daily"].dataType.fields]
     sizes = [F.size(a) for a in arrays]
@@ -44,7 +46,10 @@ def _parsed(replies: DataFrame, body: str) -> DataFrame:
         .when((sizes[1] > sizes[0]) | (sizes[2] > sizes[0]), "values without a day")
         .when(F.exists(arrays[0], lambda day: F.try_to_date(day, "yyyy-MM-dd").isNull()), "a day is not a date")
     )
-    return parsed.withColumn("_daily", daily).withColumn("_problem", problem)
+    checked = F.struct(daily.alias("daily"), problem.alias("problem"))
+    return parsed.select("*", F.explode(F.array(checked)).alias("_read")).select(
+        *replies.columns, F.col("_read.daily").alias("_daily"), F.col("_read.problem").alias("_problem")
+    )
 
 
 def _sound(replies: DataFrame, body: str, bad: BadReplies) -> DataFrame:

@@ -25,7 +25,9 @@ class Table:
     With a name, the table is a catalog table (``path`` is then its location, if
     given).  With only a path it is a partitioned directory of files.
     ``sort_by`` clusters rows inside each file, so that row-group statistics
-    let a filter on those columns skip data.
+    let a filter on those columns skip data.  ``bucket_by`` (catalog tables only) deals
+    rows to ``buckets`` by the hash of those columns: work by them needs no shuffle, and a
+    filter on all of them reads one bucket.
     """
 
     schema: StructType
@@ -34,11 +36,15 @@ class Table:
     path: str | None = None
     sort_by: tuple[str, ...] = ()
     provider: str = "parquet"
+    bucket_by: tuple[str, ...] = ()
+    buckets: int = 0
 
     def __post_init__(self) -> None:
         if not (self.name or self.path):
             raise ValueError("a table needs a name or a path")
-        unknown = {*self.partition_by, *self.sort_by} - set(self.schema.names)
+        if self.bucket_by and not (self.name and self.buckets > 0 and self.sort_by):
+            raise ValueError("buckets need a catalog table, their number and an order")
+        unknown = {*self.partition_by, *self.sort_by, *self.bucket_by} - set(self.schema.names)
         if unknown:
             raise ValueError(f"columns not in the schema: {sorted(unknown)}")
 

@@ -43,13 +43,11 @@ def stream_absence(
     """One row per key when no event came for ``seconds``: the session that closed.
 
     ``<key>, session_start, session_end, events``; ``session_end`` is the instant
-    at which the silence reached the limit.  A key's sessions are merged in each task
-    before the shuffle (a session setting, made here), so that a key with a large part
-    of the events sends few rows.
+    at which the silence reached the limit.  With the library's session settings a
+    key's sessions are merged in each task before the shuffle, so that a key with a large
+    part of the events sends few rows.  Keys that are silent still are not seen here: see
+    :mod:`daylake.streaming.silence`.
     """
-    events.sparkSession.conf.set(
-        "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true"
-    )
     session = F.session_window("ts", f"{int(seconds)} seconds").alias("_s")
     return (
         with_event_time(events, delay)

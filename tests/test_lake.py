@@ -1,17 +1,20 @@
 import pytest
 
-from daylake.errors import ContractViolation, DataSourceUnavailable
+from daylake.errors import ContractViolation, DataSourceUnavailable, UnknownPlaces
 from daylake.operators.days import BackfillRequest, DayRange
 from daylake.plans.lake import (
     Lake,
     build_gold,
     build_silver,
     days_to_run,
+    load_bronze,
     run_backfill,
     run_day,
     run_lookback,
     run_window,
+    unknown_places_folder,
 )
+from daylake.schemas import BRONZE
 from daylake.sinks.serving import DaySink, MonthSink, serving_by_day, serving_by_month
 from daylake.sinks.tables import replace_partitions
 from daylake.streaming.refresh import start_refresh
@@ -145,6 +148,7 @@ def test_backfill_from_readings_to_serving(spark, tmp_path):
         tmp_path,
         env="prod",
         exports=str(tmp_path / "exports"),
+        quarantine=str(tmp_path / "bad"),
         targets={
             "prod": DaySink(serving_by_day(path=str(tmp_path / "by-day"))),
             "default": MonthSink(serving_by_month(path=str(tmp_path / "by-month"))),
@@ -156,7 +160,11 @@ def test_backfill_from_readings_to_serving(spark, tmp_path):
     request = BackfillRequest.from_mapping(
         {"start": "2024-01-02", "end": "2024-01-04", "location_set": str(tmp_path / "places.csv")}
     )
-    run_backfill(spark, lake, request, readings=readings, ingested_at=LOADED)
+    with pytest.raises(UnknownPlaces, match="nowhere"):
+        run_backfill(spark, lake, request, readings=readings, ingested_at=LOADED)
+    options = {"ingested_at": LOADED, "on_failure": "quarantine"}
+    run_backfill(spark, lake, request, readings=readings, **options)
+    assert spark.read.parquet(unknown_places_folder(lake)).count() == 3
     want = [(p, day(n)) for p in ("A", "B") for n in (2, 3, 4)]
     assert rows(lake.bronze.read(spark), "location_id", "observation_date") == want
     served = lake.targets["prod"].table.read(spark)
@@ -214,3 +222,46 @@ def test_stream_needs_a_location():
     lake = Lake.in_catalog()
     with pytest.raises(ValueError, match="location"):
         start_refresh(None, lake, "unused")
+
+
+def _places(spark, *names):
+    return spark.createDataFrame([(n, 1.0, 2.0) for n in names], "location_id string, latitude double, longitude double")
+
+
+def _readings(spark, *found):
+    return spark.createDataFrame(
+        [(p, day(n), 1.0, 0.5) for p, n in found],
+        "location_id string, observation_date date, tavg_c double, prcp_mm double",
+    )
+
+
+def test_unknown_places_fail_a_load_before_anything_is_written(spark, tmp_path):
+    lake = _lake(tmp_path)
+    found = _readings(spark, ("A", 1), ("X", 1), ("X", 1), ("A", 2))
+    with pytest.raises(UnknownPlaces, match="X on 2024-01-01: 2 reading") as raised:
+        load_bronze(spark, lake, found, _places(spark, "A"), WEEK)
+    assert not lake.bronze.exists(spark)
+    assert raised.value.total == 1
+    assert rows(raised.value.report.where("problem = 'unknown place'")) == [("X", day(1), "unknown place", 2)]
+
+
+def test_unknown_places_are_stored_and_leave_when_known(spark, tmp_path):
+    lake = _lake(tmp_path, quarantine=str(tmp_path / "bad"))
+    found = _readings(spark, ("A", 1), ("X", 1), ("X", 2), ("Y", 3))
+    report = load_bronze(spark, lake, found, _places(spark, "A"), WEEK, on_failure="quarantine")
+    aside = lambda: spark.read.schema(BRONZE).parquet(unknown_places_folder(lake))
+    assert rows(lake.bronze.read(spark), "location_id") == [("A",)]
+    assert rows(aside(), "location_id", "observation_date", "latitude") == [("X", day(1), None), ("X", day(2), None), ("Y", day(3), None)]
+    assert report.where("problem = 'missing'").count() == 6
+    load_bronze(spark, lake, found, _places(spark, "A", "X"), WEEK, on_failure="quarantine")
+    assert rows(lake.bronze.read(spark), "location_id") == [("A",), ("X",), ("X",)]
+    assert rows(aside(), "location_id") == [("Y",)]
+
+
+def test_the_load_report_stays_when_the_landing_folder_changes(spark, tmp_path):
+    lake, landing = _lake(tmp_path), str(tmp_path / "landing")
+    _readings(spark, ("A", 1)).write.parquet(landing)
+    report = load_bronze(spark, lake, spark.read.parquet(landing), _places(spark, "A"), WEEK)
+    _readings(spark, ("B", 5)).write.mode("overwrite").parquet(landing)
+    assert report.where("observation_date = DATE '2024-01-01'").isEmpty()
+    assert report.where("problem = 'missing'").count() == 6

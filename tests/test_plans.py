@@ -130,3 +130,10 @@ def test_tumbling_counts_combine_map_side(spark, sf_dir):
     events = registry.table(spark, sf_dir, "events")
     text = plan(alerts.count_above(events, 5, 60, ["user_id"]))
     assert text.count("HashAggregate") == 2 and "ReadSchema: struct<ts:timestamp_ntz,user_id" in text
+
+
+@pytest.mark.parametrize("name", ["parse_payload_arrays", "parse_first_reading"])
+def test_a_reply_is_parsed_once(spark, sf_dir, name):
+    df = registry.all_queries()[name](spark, sf_dir)
+    # One more from_json makes the replies out of the events.
+    assert len(re.findall(r"from_json\(StructField\(daily", plan(df))) == 1

@@ -4,7 +4,7 @@ from datetime import date
 import pytest
 
 from daylake.errors import DataSourceUnavailable
-from daylake.operators.bronze import bronze_rows, readings_for_locations
+from daylake.operators.bronze import bronze_rows, readings_with_places
 from daylake.schemas import BRONZE
 from daylake.sinks.tables import replace_partitions
 from daylake.sources.locations import read_locations
@@ -64,7 +64,7 @@ def test_first_reading_takes_element_zero(replies):
 def test_bronze_rows_type_and_lineage(spark, replies):
     places = spark.createDataFrame([("LOC1", 1.0, 2.0), ("LOC2", 3.0, 4.0)],
                                    "location_id string, latitude double, longitude double")
-    got = bronze_rows(readings_for_locations(daily_readings(replies), places), ingested_at=LOADED)
+    got = bronze_rows(readings_with_places(daily_readings(replies), places), ingested_at=LOADED)
     assert [(f.name, f.dataType) for f in got.schema] == [(f.name, f.dataType) for f in BRONZE]
     assert rows(got)[0] == ("openmeteo", "LOC1", day(1), day(1), 1.5, 0.0, 1.0, 2.0, LOADED)
     assert got.where("ingest_date <> observation_date").isEmpty()
