@@ -80,7 +80,8 @@ def registered_folders(spark: SparkSession, table: Table) -> list[str]:
     for (spec,) in spark.sql(f"SHOW PARTITIONS {name}").collect():
         column, value = spec.split("=", 1)
         detail = spark.sql(f"DESCRIBE TABLE EXTENDED {name} PARTITION (`{column}` = {text_literal(value)})")
-        out += [r.data_type for r in detail.where("col_name = 'Location'").collect()]
+        # The partition's place comes first, then the table's.
+        out.append(next(r.data_type for r in detail.collect() if r.col_name == "Location"))
     return out
 
 
