@@ -17,7 +17,7 @@ regression on the sample.
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -68,14 +68,20 @@ class WordAutomaton:
     verdict: np.ndarray
 
 
-def build_automaton(terms: list[str], stems: list[str], fuzzy_length: int = FUZZY_LENGTH) -> WordAutomaton:
-    """Subset construction over (trie node, errors so far) of terms and stems."""
+def build_automaton(
+    terms: list[str],
+    stems: list[str],
+    fuzzy_length: int = FUZZY_LENGTH,
+    exact: frozenset[str] = frozenset(),
+) -> WordAutomaton:
+    """Subset construction over (trie node, errors so far) of terms and stems; terms that
+    are ``exact`` have no errors."""
     children: list[dict[str, int]] = [{}]
     kind = [0]
     fuzzy_below = [False]
     for words, is_stem in ((terms, False), (stems, True)):
         for word in words:
-            may = not is_stem and len(word) >= fuzzy_length
+            may = not is_stem and len(word) >= fuzzy_length and word not in exact
             node = 0
             fuzzy_below[0] |= may
             for c in word:
@@ -174,9 +180,11 @@ def match_words(
 KINDS = (
     "terms", "stems", "off_by_one", "quoted_terms", "quoted_stems", "quoted_off_by_one", "shared", "quoted_shared",
 )
-#: How much one hit of each kind is taken to say before anything is learnt about it.
-PRIOR = np.array([1.0, 1.0, 0.8, 0.7, 0.7, 0.5, 0.8, 0.4])
-FEATURES = ("any", *KINDS)
+#: How much one hit of each kind is taken to say before anything is learnt about it; a
+#: quoted one says nothing until quoting texts turn out to be toxic.
+PRIOR = np.array([1.0, 1.0, 0.8, 0.0, 0.0, 0.0, 0.8, 0.0])
+#: ``many``: how many different words beyond the first are hits outside quotations.
+FEATURES = ("any", "many", *KINDS)
 
 
 @dataclass(frozen=True)
@@ -199,8 +207,11 @@ class Scanner:
         ordinary: frozenset[str],
         shared: dict[str, float] | None = None,
         stems: tuple[str, ...] = (),
+        terms: tuple[str, ...] = (),
     ) -> None:
         self.automaton, self.ordinary = automaton, ordinary
+        #: A stem is evidence as the beginning of a longer word, which is how it is learnt.
+        self.alone = frozenset(stems).difference(terms)
         self.shared, self.stems = shared or {}, frozenset(stems)
         self.is_word = _word_table()
         self.symbol = np.zeros(0x110000, np.uint8)
@@ -226,6 +237,8 @@ class Scanner:
             kind = int(verdict[i])
             if kind == 3 and word in self.ordinary:
                 continue
+            if kind == 2 and word.translate(_LETTERS) in self.alone:
+                continue
             low = bounds[doc - 1] if doc else 0
             first, last = max(0, i - CONTEXT), min(len(begins) - 1, i + CONTEXT)
             before = text[max(int(begins[first]), int(low)) : begins[i]]
@@ -244,17 +257,23 @@ class Scanner:
         return None if not said or None in said else max(said)
 
     def features(self, texts: list[str | None]) -> np.ndarray:
-        """The strongest hit by prior, then for each kind whether there is a hit; for
-        shared ones the most evidence of any."""
+        """The strongest hit by prior that is not quoted, then for each kind whether there is
+        a hit; for shared ones the most evidence of any."""
         found = np.zeros((len(texts), len(KINDS)))
+        different: dict[int, set[str]] = {}
         for doc, word, kind, quoted in self.hits(texts):
+            if not quoted:
+                different.setdefault(doc, set()).add(word)
             said = self.evidence(word, kind)
             if said is None:
                 found[doc, kind - 1 + 3 * quoted] = 1.0
             else:
                 at = 7 if quoted else 6
                 found[doc, at] = max(found[doc, at], said)
-        return np.column_stack([(found * PRIOR).max(axis=1, initial=0.0), found])
+        # A misspelt term is a term, as far as the prior goes.
+        found[:, 0] = np.maximum(found[:, 0], PRIOR[2] * found[:, 2])
+        many = np.array([np.log(max(1, len(different.get(i, ())))) for i in range(len(texts))])
+        return np.column_stack([(found * PRIOR).max(axis=1, initial=0.0), many, found])
 
 
 def _quoted(before: str, after: str) -> bool:
@@ -273,12 +292,12 @@ def fit_weights(x: np.ndarray, y: np.ndarray, steps: int = 40, penalty: float =
     """Logistic regression by Newton steps, halved while they lead uphill; constant first.
 
     What is known about single kinds of hits is learnt with a stronger penalty than
-    the weight of any hit, so a kind that the sample does not show keeps its prior.
+    the weights of any hit and of many, so a kind that the sample does not show keeps its prior.
     """
     a = np.column_stack([np.ones(len(x)), x])
     w = np.zeros(a.shape[1])
     w[0] = -2.0
-    hold = np.array([1.0, 1.0, *[20.0] * (a.shape[1] - 2)]) * penalty * max(1, len(x))
+    hold = np.array([1.0, 1.0, 1.0, *[20.0] * (a.shape[1] - 3)]) * penalty * max(1, len(x))
 
     def loss(w: np.ndarray) -> float:
         z = a @ w
@@ -392,7 +411,11 @@ def fit_toxicity_model(
     # A stem has no errors, as it would be in too many words; so the words it stands for
     # are terms beside it, and their misspellings are found.
     begins = set(stems)
-    inflected = {u for u in candidates if not u.endswith("*") and any(u[:n] in begins for n in STEMS)}
+    clear = float(np.log(min_odds))
+    inflected = {
+        u for u, (said, _) in candidates.items()
+        if not u.endswith("*") and said >= clear and any(u[:n] in begins for n in STEMS)
+    }
     terms = tuple(sorted(inflected.union(u for u in chosen if not u.endswith("*"))))
     sure = float(np.log(sure_odds))
     shared_units = {
@@ -413,6 +436,9 @@ def fit_toxicity_model(
         r["word"]
         for r in once.where("y = 0").select("text").mapInArrow(near, "word string").distinct().collect()
     )
+    # Where other texts use a word beside a term, more such words are to be expected: what
+    # is one letter off that term is no misspelling of it.
+    automaton = build_automaton(list(terms), list(stems), exact=beside(terms, ordinary))
     untrained = ToxicityModel(automaton, ordinary, np.zeros(len(FEATURES) + 1), terms, stems, shared_units)
     featured = _add_features(once, untrained).select("h", "x", "y").orderBy("h").toArrow()
     y = featured.column("y").to_numpy().astype(np.float64)
@@ -420,6 +446,30 @@ def fit_toxicity_model(
     return ToxicityModel(automaton, ordinary, fit_weights(x, y), terms, stems, shared_units)
 
 
+def beside(terms: Iterable[str], words: Iterable[str]) -> frozenset[str]:
+    """The terms that one of ``words`` is one letter off."""
+
+    def shapes(word: str) -> Iterator[tuple[str, int | None]]:
+        yield word, None
+        for i in range(len(word)):
+            yield word[:i] + word[i + 1 :], i  # one letter replaced: equal without it
+            yield word[:i] + word[i + 1 :], None  # one letter more
+
+    owners: dict[tuple[str, int | None], set[str]] = {}
+    for term in terms:
+        for shape in shapes(term):
+            owners.setdefault(shape, set()).add(term)
+    found: set[str] = set()
+    for word in words:
+        word = word.translate(_LETTERS)
+        for shape, i in shapes(word):
+            for term in owners.get((shape, i), ()):
+                # Two words that lack one letter each elsewhere are two letters apart.
+                if i is not None or shape in (word, term):
+                    found.add(term)
+    return frozenset(found)
+
+
 def _cover(
     texts: list[list[str]],
     min_texts: int,
@@ -466,7 +516,7 @@ def _cover(
 
 
 def _scanner(model: ToxicityModel) -> Scanner:
-    return Scanner(model.automaton, model.ordinary, model.shared, model.stems)
+    return Scanner(model.automaton, model.ordinary, model.shared, model.stems, model.terms)
 
 
 def _add_features(docs: DataFrame, model: ToxicityModel) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import random
 
 from daylake.llm import common
-from daylake.llm.toxicity import KINDS, _scanner, fit_toxicity_model, score_toxicity
+from daylake.llm.toxicity import FEATURES, _scanner, fit_toxicity_model, score_toxicity
 
 WORDS = [a + b + c for a in ("ba", "ko", "mi", "tu", "re") for b in ("lan", "dor", "ves") for c in ("ta", "ni", "go")]
 
@@ -82,7 +82,7 @@ def test_quoted_stems_are_told_from_plain_ones(spark):
     model = _inflected(spark, rng)
     assert model.stems
     x = _scanner(model).features(["so zwuqqering now", 'so "zwuqqering" now'])
-    at = 1 + KINDS.index("stems"), 1 + KINDS.index("quoted_stems")
+    at = FEATURES.index("stems"), FEATURES.index("quoted_stems")
     assert x[:, at].tolist() == [[1.0, 0.0], [0.0, 1.0]]
     model = _inflected(spark, rng, quoted=16)
     plain, quoted = _scores(spark, model, [f"{_filler(rng)} zwuqqering now", f'{_filler(rng)} "zwuqqering" now'])
