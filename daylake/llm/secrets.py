@@ -4,7 +4,8 @@ Candidate strings are long runs of key characters.  A window slides over a candi
 the counts of its characters are kept up to date by one in, one out, and with them its
 Shannon entropy.  A candidate whose best window reaches the limit of its character
 class (hexadecimal, alphanumeric, base64) is reported, unless an allow-list rule says
-that it is something else: a plain word, a number, an identifier of known form, a path.
+that it is something else: words of one case or a name written together, a number, an
+identifier of known form, a path.  A placeholder suppresses its neighbourhood only.
 """
 
 from __future__ import annotations
@@ -37,15 +38,40 @@ _X_LOG_X = [0.0] + [n * log2(n) for n in range(1, WINDOW + 1)]
 ALLOWED = tuple(
     re.compile(p)
     for p in (
-        r"[A-Za-z_-]+",  # words, also joined by hyphens
+        r"(?:[a-z]+|[A-Z]+)(?:[_-]+(?:[a-z]+|[A-Z]+))*[_-]*|[_-]+",  # words of one case, also joined
         r"[0-9_+=/-]+",  # numbers and rules
         r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}",  # UUIDs
         r"(.)\1+",
         r"[A-Za-z]{2,}[0-9]{1,4}",  # a word with a number
         r"[A-Za-z_.-]*(?:/[A-Za-z_.-]+)+/?",  # paths
-        r".*(EXAMPLE|example|XXXX|xxxx|0000000|1234567).*",  # placeholders
     )
 )
+#: A placeholder suppresses what is around it, a window's length to either side.
+PLACEHOLDER = re.compile(r"EXAMPLE|example|XXXX|xxxx|0000000|1234567")
+#: Words of mixed case and their parts: these are names if the parts are long enough.
+_MIXED = re.compile(r"[A-Za-z_-]+")
+_CASE_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+LEAST_CASE_PART = 3.4
+
+
+def is_name(candidate: str) -> bool:
+    """Whether letters of mixed case look like words written together (``someLongName``);
+    random letters change case every other letter."""
+    if not _MIXED.fullmatch(candidate):
+        return False
+    parts = _CASE_PART.findall(candidate)
+    return sum(map(len, parts)) >= LEAST_CASE_PART * len(parts)
+
+
+def unsuppressed(candidate: str) -> list[str]:
+    """What placeholders leave of a candidate, in pieces of a window's length at least."""
+    pieces, start = [], 0
+    for m in PLACEHOLDER.finditer(candidate):
+        pieces.append(candidate[start : max(start, m.start() - WINDOW)])
+        start = m.end() + WINDOW
+    if not start:
+        return [candidate]
+    return [p for p in [*pieces, candidate[start:]] if len(p) >= WINDOW]
 
 
 def character_class(candidate: str) -> str:
@@ -78,9 +104,9 @@ def best_entropy(candidate: str, window: int = WINDOW) -> float:
 
 def is_secret(candidate: str) -> bool:
     """Whether a candidate string is reported."""
-    if any(rule.fullmatch(candidate) for rule in ALLOWED):
+    if is_name(candidate) or any(rule.fullmatch(candidate) for rule in ALLOWED):
         return False
-    return best_entropy(candidate) >= LIMITS[character_class(candidate)]
+    return any(best_entropy(p) >= LIMITS[character_class(p)] for p in unsuppressed(candidate))
 
 
 def _is_rest_secret(rest: str, whole: bool) -> bool:
