@@ -338,10 +338,17 @@ def identify_language(
 
 def keep_identified(docs: DataFrame, model: LanguageModel) -> DataFrame:
     """``docs`` without null texts and texts without a letter, the ones whose language is
-    ``und`` where any language was learnt; columns stay as they are."""
+    ``und`` where any language was learnt, and with what was identified as their ``lang``.
+
+    Other columns stay as they are; a frame without ``lang`` gets none.  Where no language
+    was learnt, labels stay as they are, too.
+    """
     if not model.languages:
         return docs.where(F.col("text").rlike(r"\p{L}"))
     lang = free_name(docs.columns, "_lang_pred")
     score = free_name(docs.columns, "_lang_score")
     named = identify_language(docs, model, lang_column=lang, score_column=score)
-    return named.where(F.col(lang) != UNKNOWN).drop(lang, score)
+    kept = named.where(F.col(lang) != UNKNOWN)
+    if "lang" in docs.columns:
+        kept = kept.withColumn("lang", F.col(lang))
+    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
