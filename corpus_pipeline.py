@@ -21,8 +21,8 @@ from daylake.session import working_dir
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a language; texts that are null or have no letter go, no others,
-    also if no document has a label."""
+    """Documents with the language that the model finds as their ``lang``; texts that are
+    null or have no letter go, no others, also if no document has a label."""
     ship_package(spark)
     return keep_identified(docs, fit_language_model(docs.where(~held_out(5, 0))))
 
