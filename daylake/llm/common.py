@@ -12,6 +12,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
+from daylake.session import stage
+
 #: Characters of text that a Python worker works on at once (a longer single text is
 #: a block of its own).
 BLOCK_CHARS = 4_000_000
@@ -85,6 +87,17 @@ def text_blocks(
             yield batch.slice(start, stop - start), texts.slice(start, stop - start)
 
 
+#: Rows of a few keys that are sent to all tasks at most (some ten megabytes).
+SENT_ROWS = 200_000
+
+
+def sent_if_small(keys: DataFrame, label: str, limit: int = SENT_ROWS) -> DataFrame:
+    """``keys`` (a few numbers a row), written once and counted: up to ``limit`` rows a join
+    sends them to the other side's tasks, beyond that it shuffles; the rows are the same."""
+    stored = stage(keys, label)
+    return F.broadcast(stored) if stored.count() <= limit else stored
+
+
 def add_from_text(
     df: DataFrame,
     fields: Sequence[tuple[str, str, pa.DataType]],

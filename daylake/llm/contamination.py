@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from daylake.llm.common import free_name, text_blocks
+from daylake.llm.common import SENT_ROWS, free_name, text_blocks, sent_if_small
 from daylake.session import stage
 
 #: ASCII letters to lower case, other ASCII that is no digit to blanks; words are what
@@ -337,20 +337,23 @@ def contamination_report(found: DataFrame) -> DataFrame:
     )
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
+def drop_contaminated(
+    docs: DataFrame, benchmark: DataFrame, *, sent_rows: int = SENT_ROWS, **options
+) -> DataFrame:
     """``docs`` without contaminated ones; all columns stay.
 
     Verdicts are matched by doc_id and the text's hash (null-safe), so copies of a row
     share a verdict and rows that share an id do not.
     """
     text_hash = free_name(docs.columns, "_text_hash")
+    bad_hash, bad_id = free_name(docs.columns, "_bad_hash"), free_name(docs.columns, "_bad_id")
     found = contamination(docs, benchmark, row=F.xxhash64("text"), **options)
     bad = (
         contamination_report(found)
         .where("contaminated")
-        .select(F.col("row").alias("_bad_hash"), F.col("doc_id").alias("_bad_id"))
+        .select(F.col("row").alias(bad_hash), F.col("doc_id").alias(bad_id))
         .distinct()
     )
-    match = F.col("doc_id").eqNullSafe(F.col("_bad_id")) & (F.col(text_hash) == F.col("_bad_hash"))
+    match = F.col("doc_id").eqNullSafe(F.col(bad_id)) & (F.col(text_hash) == F.col(bad_hash))
     hashed = docs.withColumn(text_hash, F.xxhash64("text"))
-    return hashed.join(bad, match, "left_anti").drop(text_hash)
+    return hashed.join(sent_if_small(bad, "contaminated", sent_rows), match, "left_anti").drop(text_hash)

@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from daylake.llm.common import add_from_text, free_name, text_blocks
+from daylake.llm.common import SENT_ROWS, add_from_text, free_name, text_blocks, sent_if_small
 from daylake.llm.components import connected_components, local_roots
 from daylake.session import stage
 
@@ -259,7 +259,7 @@ def components_of(prints: DataFrame, max_group: int = 4096) -> DataFrame:
     return prints.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
-def drop_near_duplicates(docs: DataFrame, max_group: int = 4096) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, max_group: int = 4096, sent_rows: int = SENT_ROWS) -> DataFrame:
     """One row of each component, with all columns: that with the least doc_id, among
     equal ids that with the least hash of its text.
 
@@ -279,19 +279,24 @@ def drop_near_duplicates(docs: DataFrame, max_group: int = 4096) -> DataFrame:
     )
     name = free_name(docs.columns, "_kept_id")
     many = free_name(docs.columns, "_kept_rows")
+    kept_hash = free_name(docs.columns, "_kept_hash")
     keep = stage(
         rooted.groupBy("root")
         .agg(F.min("first").alias("first"))
-        .select(F.col("first.doc_id").alias(name), F.col("first.hash").alias("_kept_hash"), F.col("first.n").alias(many)),
+        .select(F.col("first.doc_id").alias(name), F.col("first.hash").alias(kept_hash), F.col("first.n").alias(many)),
         "kept-rows",
     )
-    own = F.col("doc_id").cast("long").eqNullSafe(F.col(name)) & (F.xxhash64("text") == F.col("_kept_hash"))
-    out = docs.join(keep.where(F.col(many) == 1), own, "left_semi")
-    again = keep.where(F.col(many) > 1)
+    own = F.col("doc_id").cast("long").eqNullSafe(F.col(name)) & (F.xxhash64("text") == F.col(kept_hash))
+    # Fewer rows go than stay: the keys of those that go meet the texts where these are.
+    again = keep.where(F.col(many) > 1).select(name, kept_hash)
+    pairs = prints.select(F.col("doc_id").alias(name), F.col(said).alias(kept_hash)).distinct()
+    same = [F.col(f"p.{c}").eqNullSafe(F.col(f"k.{c}")) for c in (name, kept_hash)]
+    gone = pairs.alias("p").join(keep.alias("k"), same[0] & same[1], "left_anti")
+    out = docs.join(sent_if_small(gone.union(again), "gone-rows", sent_rows), own, "left_anti")
     if again.isEmpty():
         return out
-    repeated = docs.join(again, own, "left_semi").dropDuplicates(["doc_id", "text"])
-    return out.unionByName(repeated)
+    repeated = docs.join(sent_if_small(again, "repeated-rows", sent_rows), own, "left_semi")
+    return out.unionByName(repeated.dropDuplicates(["doc_id", "text"]))
 
 
 def _with_fingerprint(docs: DataFrame, name: str) -> DataFrame:
