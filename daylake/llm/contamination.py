@@ -1,21 +1,23 @@
 """Benchmark decontamination over a distributed positional inverted index.
 
 The index is document-sharded, as in a search cluster: every segment holds, for a few
-thousand documents, the posting lists (word positions) of the terms that occur in the
-test set.  A test window is looked up from its rarest term: the positions of that
-term, shifted by its place in the window, are intersected with the shifted lists of
-the next rarest terms and so on, which leaves exact phrase matches.  Windows that are
-not exact but have every term within ``slack`` words of its place are proximity
-matches.  Segments are independent, so a lookup shuffles nothing, and a passage that a
-third of all documents share is only a longer posting list in every segment.
+thousand documents, its words and their posting lists (word positions).  It holds every
+word and knows no test set, so it is built once and serves any number of them.  A test
+window is looked up from its rarest term: the positions of that term, shifted by its
+place in the window, are intersected with the shifted lists of the next rarest terms and
+so on, which leaves exact phrase matches.  Windows that are not exact but have every term
+within ``slack`` words of its place are proximity matches.  Segments are independent, so
+a lookup shuffles nothing, and a passage that a third of all documents share is only a
+longer posting list in every segment.
 
 The test set is taken in blocks of items with a bounded number of words; a block's
-vocabulary and windows are what is sent to the executors.
+vocabulary and windows are what is sent to the executors.  Each block reads the index,
+never the documents.
 """
 
 from __future__ import annotations
 
-from collections import Counter
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,7 +35,7 @@ _FOLD = bytes(
 )
 
 SEGMENT = (
-    "rows array<long>, doc_ids array<long>, n_words array<int>, terms array<int>,"
+    "rows array<long>, doc_ids array<long>, n_words array<int>, words array<binary>,"
     " counts array<int>, postings binary"
 )
 MATCHES = (
@@ -47,34 +49,29 @@ def words_of(text: bytes | None) -> list[bytes]:
     return text.translate(_FOLD).split() if text else []
 
 
-def build_index(docs: DataFrame, vocabulary: set[bytes], *, slack: int) -> DataFrame:
-    """Index segments of the documents for a vocabulary, as a stored table.
+def build_index(docs: DataFrame) -> DataFrame:
+    """Index segments of the documents, as a stored table that any test set can use.
 
-    ``docs`` has row, doc_id and text.  Positions count words through a segment, with
-    a gap between documents that no window or proximity match can bridge.  A posting
-    list is stored as differences, which the file compression shrinks well.
+    ``docs`` has row, doc_id and text.  A segment has the documents of a block of text
+    (or one longer document), its words, how often each occurs, and the words' posting
+    lists one after the other.  Positions count words through the segment and are stored
+    as differences, which the file compression shrinks well.
     """
-    numbers = docs.sparkSession.sparkContext.broadcast(
-        {word: i for i, word in enumerate(sorted(vocabulary))}
-    )
-    gap = 2 * slack + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        get = numbers.value.get
         for part, texts in text_blocks(batches):
-            found, sizes = [], []
+            numbers: dict[bytes, int] = defaultdict()
+            numbers.default_factory = numbers.__len__  # a new word gets the next number
+            found, sizes = [np.zeros(0, np.int32)], []
             for raw in texts.to_pylist():
                 words = words_of(raw)
                 sizes.append(len(words))
-                found.append(np.fromiter((get(w, -1) for w in words), np.int32, len(words)))
-                found.append(np.full(gap, -1, np.int32))
+                found.append(np.fromiter(map(numbers.__getitem__, words), np.int32, len(words)))
             stream = np.concatenate(found)
-            places = np.flatnonzero(stream >= 0)
-            order = np.argsort(stream[places], kind="stable")
-            terms, counts = np.unique(stream[places], return_counts=True)
-            positions = places[order]
-            steps = np.diff(positions, prepend=0)
+            positions = np.argsort(stream, kind="stable")
+            counts = np.bincount(stream, minlength=len(numbers))
             firsts = np.cumsum(counts) - counts
+            steps = np.diff(positions, prepend=0)
             steps[firsts] = positions[firsts]
             index = lambda name: part.schema.get_field_index(name)
             yield pa.RecordBatch.from_arrays(
@@ -82,41 +79,54 @@ def build_index(docs: DataFrame, vocabulary: set[bytes], *, slack: int) -> DataF
                     pa.array([part.column(index("row")).to_pylist()], pa.list_(pa.int64())),
                     pa.array([part.column(index("doc_id")).to_pylist()], pa.list_(pa.int64())),
                     pa.array([sizes], pa.list_(pa.int32())),
-                    pa.array([terms.astype(np.int32)], pa.list_(pa.int32())),
+                    pa.array([list(numbers)], pa.list_(pa.binary())),
                     pa.array([counts.astype(np.int32)], pa.list_(pa.int32())),
                     pa.array([steps.astype("<u4").tobytes()], pa.binary()),
                 ],
-                names=["rows", "doc_ids", "n_words", "terms", "counts", "postings"],
+                names=["rows", "doc_ids", "n_words", "words", "counts", "postings"],
             )
 
     segments = docs.select("row", F.col("doc_id").cast("long").alias("doc_id"), "text")
     return stage(segments.mapInArrow(run, SEGMENT), "contamination-index", compression="zstd")
 
 
+def _known(words: list[bytes], vocabulary: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
+    """Places of a segment's words that the test block has, by the block's word numbers."""
+    own = np.fromiter((vocabulary.get(w, -1) for w in words), np.int32, len(words))
+    places = np.flatnonzero(own >= 0)
+    places = places[np.argsort(own[places])]
+    return places, own[places]
+
+
 class Windows:
-    """The windows of a block of test items, each with its terms from the rarest on."""
+    """The windows of a block of test items, ``offset`` being the places of a window's
+    terms from the rarest on (a window of fewer words repeats its rarest)."""
 
     def __init__(self, items: list[tuple[int | None, list[int]]], size: int, frequency: np.ndarray):
         self.items = [item for item, _ in items]
-        own, lengths, offsets, terms = [], [], [], []
-        for no, (_, words) in enumerate(items):
-            n = min(size, len(words))
-            for start in range(len(words) - n + 1 if n else 0):
-                window = np.array(words[start : start + n], np.int32)
-                order = np.argsort(frequency[window], kind="stable")
-                order = np.concatenate([order, np.full(size - n, order[0])])
-                own.append(no)
-                lengths.append(n)
-                offsets.append(order)
-                terms.append(window[order])
-        self.item = np.array(own, np.int32)
-        self.length = np.array(lengths, np.int64)
-        self.offset = np.array(offsets, np.int64).reshape(-1, size)
-        self.term = np.array(terms, np.int32).reshape(-1, size)
-        # Windows by rarest term, for the merge with a segment's term list.
-        order = np.argsort(self.term[:, 0], kind="stable")
-        for name in ("item", "length", "offset", "term"):
-            setattr(self, name, getattr(self, name)[order])
+        sizes = np.array([len(words) for _, words in items], np.int64)
+        self.words = np.array([w for _, words in items for w in words], np.int32)
+        many = np.where(sizes > size, sizes - size + 1, np.minimum(sizes, 1))
+        item = np.repeat(np.arange(len(items)), many)
+        length = np.minimum(sizes, size)[item]
+        begin = np.arange(len(item)) - np.repeat(np.cumsum(many) - many, many)
+        begin += (np.cumsum(sizes) - sizes)[item]
+        place = np.arange(size)
+        inside = place < length[:, None]
+        rarity = np.full(inside.shape, np.iinfo(np.int64).max)
+        rarity[inside] = frequency[self.words[(begin[:, None] + place)[inside]]]
+        offset = np.argsort(rarity, axis=1, kind="stable")
+        offset = np.where(inside, offset, offset[:, :1])
+        # Windows by rarest term, for the merge with a segment's words.
+        order = np.argsort(self.words[begin + offset[:, 0]], kind="stable")
+        self.item = item[order].astype(np.int32)
+        self.length = length[order]
+        self.offset = offset[order].astype(np.int16 if size < 1 << 15 else np.int64)
+        self.begin = begin[order]
+        self.rarest = self.term(np.arange(len(order)), 0)
+
+    def term(self, window: np.ndarray, k: int) -> np.ndarray:
+        return self.words[self.begin[window] + self.offset[window, k]]
 
 
 def _candidates(
@@ -124,8 +134,8 @@ def _candidates(
 ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(window, start) from the posting lists of the windows' rarest terms, a bounded
     number at a time."""
-    at = np.searchsorted(terms, windows.term[:, 0])
-    here = np.flatnonzero(terms[np.minimum(at, len(terms) - 1)] == windows.term[:, 0])
+    at = np.searchsorted(terms, windows.rarest)
+    here = np.flatnonzero(terms[np.minimum(at, len(terms) - 1)] == windows.rarest)
     firsts = (np.cumsum(counts) - counts)[at[here]]
     many = counts[at[here]].astype(np.int64)
     total = np.cumsum(many)
@@ -140,18 +150,22 @@ def _candidates(
         begin = end
 
 
-def _look_up(segment: dict, windows: Windows, slack: int) -> Iterator[tuple]:
+def _look_up(segment: dict, vocabulary: dict[bytes, int], windows: Windows, slack: int) -> Iterator[tuple]:
     """Exact spans, items and proximity items of each document of a segment."""
     sizes = np.array(segment["n_words"], np.int64)
+    # A gap between documents that no window or proximity match can bridge.
     gap = 2 * slack + 1
     starts = np.cumsum(sizes + gap) - (sizes + gap)
     length = int((sizes + gap).sum())
-    terms = np.array(segment["terms"], np.int32)
-    counts = np.array(segment["counts"], np.int64)
-    steps = np.frombuffer(segment["postings"], "<u4").astype(np.int64)
-    run = np.cumsum(steps)
+    places, terms = _known(segment["words"], vocabulary)
+    every = np.array(segment["counts"], np.int64)
+    counts = every[places]
     firsts = np.cumsum(counts) - counts
+    lists = np.repeat((np.cumsum(every) - every)[places] - firsts, counts) + np.arange(int(counts.sum()))
+    steps = np.frombuffer(segment["postings"], "<u4")[lists].astype(np.int64)
+    run = np.cumsum(steps)
     positions = run - np.repeat(run[firsts] - steps[firsts], counts) if len(terms) else run
+    positions += gap * np.repeat(np.arange(len(sizes)), sizes)[positions]
     # Which list, if any, holds a position; a window may begin ``slack`` places before
     # the first word and its terms be as many away from their places.
     pad = 2 * slack
@@ -161,14 +175,14 @@ def _look_up(segment: dict, windows: Windows, slack: int) -> Iterator[tuple]:
     exact: list[np.ndarray] = []
     near: list[np.ndarray] = []
     n_items = max(1, len(windows.items))
-    size = windows.term.shape[1]
+    size = windows.offset.shape[1]
     for window, start in _candidates(windows, terms, counts, positions) if len(terms) else ():
         inside = (start >= -slack) & (start + windows.length[window] <= length + slack)
         window, start = window[inside], start[inside]
         w, s, missed = window, start, np.zeros(len(window), bool)
         for k in range(1, size):
             place = s + windows.offset[w, k]
-            term = windows.term[w, k]
+            term = windows.term(w, k)
             hit = stream[place + pad] == term
             if slack:
                 close = hit.copy()
@@ -204,7 +218,7 @@ def _look_up(segment: dict, windows: Windows, slack: int) -> Iterator[tuple]:
     for d, (row, doc_id, n) in enumerate(zip(segment["rows"], segment["doc_ids"], segment["n_words"])):
         own = items.get(d, [])
         others = sorted(set(near_items.get(d, ())) - set(own))
-        yield row, doc_id, n, spans.get(d, []), own, others
+        yield row, doc_id, int(n), spans.get(d, []), own, others
 
 
 def _item_blocks(benchmark: DataFrame, block_words: int) -> Iterator[list[tuple[int | None, list[bytes]]]]:
@@ -224,33 +238,38 @@ def _item_blocks(benchmark: DataFrame, block_words: int) -> Iterator[list[tuple[
 
 
 def contamination(
-    docs: DataFrame,
+    docs: DataFrame, benchmark: DataFrame, *, row: Column | None = None, **options
+) -> DataFrame:
+    """:func:`find_in_index` of an index of ``docs``, whose ``row`` is ``row``, or a number
+    of the scan.  The documents are read once, whatever the size of the test set."""
+    key = F.monotonically_increasing_id() if row is None else row
+    return find_in_index(build_index(docs.select(key.alias("row"), "doc_id", "text")), benchmark, **options)
+
+
+def find_in_index(
+    index: DataFrame,
     benchmark: DataFrame,
     *,
     window: int = 13,
     slack: int = 1,
-    block_words: int = 1_000_000,
-    row: Column | None = None,
+    block_words: int = 500_000,
 ) -> DataFrame:
-    """One row per document: ``row`` (``row``, or a number of the scan), doc_id, n_words, ``spans``
-    (disjoint ranges of hit words), ``items`` and ``near_items`` (ascending ids).
+    """One row per document of an index: ``row``, doc_id, n_words, ``spans`` (disjoint
+    ranges of hit words), ``items`` and ``near_items`` (ascending ids).
 
     A window is ``window`` consecutive words of an item, or the whole of a shorter one.
     Null and empty texts have no words and match nothing; an item without words has no
     window.  Items of one id count as one; those with a null id mark words but are not
     listed.  Repeated documents get a row each.  With several blocks of items the
-    blocks' rows are merged by ``row``; the scan's number needs an unchanging table.
+    blocks' rows are merged by ``row`` and doc_id.
     """
-    size = window
-    key = F.monotonically_increasing_id() if row is None else row
-    numbered = docs.select(key.alias("row"), "doc_id", "text")
     found = None
     merged = False
     for block in _item_blocks(benchmark, block_words):
-        one = _one_block(numbered, block, size, slack)
+        one = _one_block(index, block, window, slack)
         merged, found = found is not None, one if found is None else found.unionByName(one)
     if found is None:
-        found = _one_block(numbered, [], size, slack)
+        found = _one_block(index, [], window, slack)
     if not merged:
         return found
     # Rows of one key and id have equal texts, so a set holds a list for each block at most.
@@ -287,20 +306,25 @@ def _merged(spans: Column) -> Column:
     return F.aggregate(spans, F.slice(spans, 1, 0), add)
 
 
-def _one_block(docs: DataFrame, block: list, size: int, slack: int) -> DataFrame:
-    spark = docs.sparkSession
-    vocabulary = {w for _, words in block for w in words}
-    index = build_index(docs, vocabulary, slack=slack)
-    numbers = {w: i for i, w in enumerate(sorted(vocabulary))}
+def _one_block(index: DataFrame, block: list, size: int, slack: int) -> DataFrame:
+    spark = index.sparkSession
+    numbers = {w: i for i, w in enumerate(sorted({w for _, words in block for w in words}))}
+    vocabulary = spark.sparkContext.broadcast(numbers)
     frequency = np.zeros(max(1, len(numbers)), np.int64)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for words, counts in zip(batch.column(0), batch.column(1)):
+                places, terms = _known(words.as_py(), vocabulary.value)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(terms), pa.array(counts.values.to_numpy()[places].astype(np.int64))],
+                    names=["term", "n"],
+                )
+
     if numbers:
-        totals = (
-            index.select(F.explode(F.arrays_zip("terms", "counts")).alias("p"))
-            .groupBy("p.terms")
-            .agg(F.sum("p.counts").alias("n"))
-        )
-        for row in totals.collect():  # one row per word of the block at most
-            frequency[row["terms"]] = row["n"]
+        seen = index.select("words", "counts").mapInArrow(count, "term int, n long")
+        for row in seen.groupBy("term").agg(F.sum("n").alias("n")).collect():
+            frequency[row["term"]] = row["n"]  # one row per word of the block at most
     windows = spark.sparkContext.broadcast(
         Windows([(item, [numbers[w] for w in words]) for item, words in block], size, frequency)
     )
@@ -310,8 +334,12 @@ def _one_block(docs: DataFrame, block: list, size: int, slack: int) -> DataFrame
         names = ["row", "doc_id", "n_words", "spans", "items", "near_items"]
         for batch in batches:
             for at in range(batch.num_rows):
-                segment = batch.slice(at, 1).to_pylist()[0]
-                columns = list(zip(*_look_up(segment, windows.value, slack)))
+                segment = {name: batch.column(name)[at] for name in batch.schema.names}
+                segment = {
+                    name: cell.values.to_numpy() if name in ("n_words", "counts") else cell.as_py()
+                    for name, cell in segment.items()
+                }
+                columns = list(zip(*_look_up(segment, vocabulary.value, windows.value, slack)))
                 if columns:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(list(c), k) for c, k in zip(columns, kinds)], names=names
