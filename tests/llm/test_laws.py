@@ -7,6 +7,7 @@ from collections import defaultdict
 
 import numpy as np
 
+from daylake.llm import packing
 from daylake.llm.queries import QUERIES
 from daylake.llm.secrets import base_spans, scan_secrets
 from daylake.llm.sharding import place_groups
@@ -49,3 +50,39 @@ def test_base_spans_equal_plain_patterns(spark):
         want += [("hex", *m.span()) for m in re.finditer("[0-9a-f]+", text) if len(m.group()) >= 32]
         order = ("assign", "access", "hex")
         assert got[doc_id] == sorted(want, key=lambda s: (s[1], order.index(s[0])))
+
+
+def test_patterns_of_many_lengths_serve_where_all_pieces_are_short():
+    lengths, counts = np.unique(np.random.default_rng(1).integers(200, 600, 100_000), return_counts=True)
+    bars = dict(zip(lengths.tolist(), counts.tolist()))
+    plan = packing.packing_plan(bars, 2048)
+    least = packing.least_sequences(bars, 2048)
+    best_fit = sum(many for _, many, _ in packing._best_fit(dict(bars), [], 2048))
+    assert least <= plan.sequences <= 1.008 * least < best_fit
+    found, used = packing.priced_patterns(lengths, counts, 2048)
+    by_patterns = ((found < len(lengths)).sum(axis=1) * used).sum()
+    assert by_patterns > 0.9 * counts.sum()
+    ranks = np.concatenate([np.arange(n) for n in counts])
+    sequence, offset = plan.place(np.repeat(lengths, counts), ranks)
+    order = np.lexsort((offset, sequence))
+    size = np.repeat(lengths, counts)[order]
+    begins = np.append(True, np.diff(sequence[order]) > 0)
+    want = np.where(begins, 0, np.append(0, (offset[order] + size)[:-1]))
+    assert (offset[order] == want).all() and (offset[order] + size).max() <= 2048
+
+
+def test_a_valued_pattern_is_the_best_that_holds_its_length():
+    from itertools import combinations_with_replacement
+
+    rng = np.random.default_rng(5)
+    lengths, values = np.array([3, 4, 7, 9, 13]), rng.uniform(-0.1, 1, 5)
+    found = packing.valued_patterns(lengths, values, 20, 3)
+    size, worth = np.append(lengths, 0), np.append(values, 0)
+    for at, pattern in enumerate(found):
+        assert at in pattern and size[pattern].sum() <= 20
+        want = max(
+            worth[[at, *rest]].sum()
+            for rest in combinations_with_replacement(range(6), 2)
+            if size[[at, *rest]].sum() <= 20
+        )
+        assert np.isclose(worth[pattern].sum(), want)
