@@ -5,9 +5,11 @@ cut into cells of a fixed width; the cells of ``hashes`` projections are one tab
 bucket.  Vectors that share a bucket in any of ``tables`` tables are compared exactly.
 
 Equal vectors are one node with a weight.  A bucket with more than ``block`` nodes is
-cut into blocks, and every pair of blocks is a piece of work of its own.  A pair that
-shares several buckets counts in the first of them, so that only a number per vector
-and one link per vector and piece leave a task, never all pairs.
+cut into blocks, and every pair of blocks is a piece of work of its own.  Buckets are
+dealt by number first; vectors follow only into buckets of several nodes, and of buckets
+with the same nodes only into the first.  A pair that shares several buckets counts in the
+first of them, so that only a number per vector and one link per vector and piece leave a
+task, never all pairs.
 """
 
 from __future__ import annotations
@@ -192,22 +194,25 @@ def near_vectors(
         ),
         "signed-vectors",
     )
-    dealt = signed.select("*", F.posexplode("keys").alias("table", "key"))
-    full = stage(
-        signed.select(F.explode("keys").alias("key"))
-        .groupBy("key")
-        .agg(F.count("*").alias("n"))
-        .where(F.col("n") > block)
-        .select("key", F.ceil(F.col("n") / block).cast("int").alias("cuts")),
-        "full-buckets",
+    dealt = signed.select("node", F.posexplode("keys").alias("table", "key"))
+    # Near vectors share many buckets, so of buckets with the same nodes the first one does.
+    same = [F.bit_xor(F.xxhash64("node", F.lit(k))).alias(f"same{k}") for k in (0, 1)]
+    buckets = (
+        dealt.groupBy("key")
+        .agg(F.min("table").alias("table"), F.count("*").alias("n"), *same)
+        .where(F.col("n") > 1)
+        .groupBy("n", "same0", "same1")
+        .agg(F.min_by("key", F.struct("table", "key")).alias("key"))
+        .select("key", F.ceil(F.col("n") / block).cast("int").alias("cuts"))
     )
-    cut = dealt.join(full, "key", "left").withColumn("cuts", F.coalesce("cuts", F.lit(1)))
+    cut = dealt.join(stage(buckets, "buckets"), "key")
     own = F.pmod(F.xxhash64("node", F.lit(seed)), F.col("cuts")).cast("int")
     paired = (
         cut.withColumn("own", own)
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)))
         .withColumn("one", F.least("own", "other"))
         .withColumn("two", F.greatest("own", "other"))
+        .join(signed, "node")
         .select("key", "one", "two", "own", "table", "node", "weight", "label", "vector", "keys")
     )
     work = paired.repartition("key", "one", "two").sortWithinPartitions("key", "one", "two")
