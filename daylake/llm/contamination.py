@@ -19,6 +19,7 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -35,8 +36,8 @@ _FOLD = bytes(
 )
 
 SEGMENT = (
-    "rows array<long>, doc_ids array<long>, n_words array<int>, words array<binary>,"
-    " counts array<int>, postings binary"
+    "rows array<long>, doc_ids array<long>, n_words array<int>, words binary,"
+    " counts binary, postings binary"
 )
 MATCHES = (
     "row long, doc_id long, n_words long, spans array<struct<start:int,stop:int>>,"
@@ -53,9 +54,10 @@ def build_index(docs: DataFrame) -> DataFrame:
     """Index segments of the documents, as a stored table that any test set can use.
 
     ``docs`` has row, doc_id and text.  A segment has the documents of a block of text
-    (or one longer document), its words, how often each occurs, and the words' posting
-    lists one after the other.  Positions count words through the segment and are stored
-    as differences, which the file compression shrinks well.
+    (or one longer document), its words (blanks between), how often each occurs, and the
+    words' posting lists one after the other.  Positions count words through the segment
+    and are stored as differences, which the file compression shrinks well.  Numbers are
+    little-endian unsigned 32-bit integers.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -68,7 +70,8 @@ def build_index(docs: DataFrame) -> DataFrame:
                 sizes.append(len(words))
                 found.append(np.fromiter(map(numbers.__getitem__, words), np.int32, len(words)))
             stream = np.concatenate(found)
-            positions = np.argsort(stream, kind="stable")
+            # Number and place in one integer sort faster than a stable order of numbers.
+            positions = np.sort((stream.astype(np.int64) << 32) | np.arange(len(stream))) & 0xFFFFFFFF
             counts = np.bincount(stream, minlength=len(numbers))
             firsts = np.cumsum(counts) - counts
             steps = np.diff(positions, prepend=0)
@@ -79,8 +82,8 @@ def build_index(docs: DataFrame) -> DataFrame:
                     pa.array([part.column(index("row")).to_pylist()], pa.list_(pa.int64())),
                     pa.array([part.column(index("doc_id")).to_pylist()], pa.list_(pa.int64())),
                     pa.array([sizes], pa.list_(pa.int32())),
-                    pa.array([list(numbers)], pa.list_(pa.binary())),
-                    pa.array([counts.astype(np.int32)], pa.list_(pa.int32())),
+                    pa.array([b" ".join(numbers)], pa.binary()),
+                    pa.array([counts.astype("<u4").tobytes()], pa.binary()),
                     pa.array([steps.astype("<u4").tobytes()], pa.binary()),
                 ],
                 names=["rows", "doc_ids", "n_words", "words", "counts", "postings"],
@@ -90,9 +93,10 @@ def build_index(docs: DataFrame) -> DataFrame:
     return stage(segments.mapInArrow(run, SEGMENT), "contamination-index", compression="zstd")
 
 
-def _known(words: list[bytes], vocabulary: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
+def _known(words: bytes, vocabulary: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
     """Places of a segment's words that the test block has, by the block's word numbers."""
-    own = np.fromiter((vocabulary.get(w, -1) for w in words), np.int32, len(words))
+    split = words.split()
+    own = np.fromiter(map(vocabulary.get, split, repeat(-1)), np.int32, len(split))
     places = np.flatnonzero(own >= 0)
     places = places[np.argsort(own[places])]
     return places, own[places]
@@ -158,7 +162,7 @@ def _look_up(segment: dict, vocabulary: dict[bytes, int], windows: Windows, slac
     starts = np.cumsum(sizes + gap) - (sizes + gap)
     length = int((sizes + gap).sum())
     places, terms = _known(segment["words"], vocabulary)
-    every = np.array(segment["counts"], np.int64)
+    every = np.frombuffer(segment["counts"], "<u4").astype(np.int64)
     counts = every[places]
     firsts = np.cumsum(counts) - counts
     lists = np.repeat((np.cumsum(every) - every)[places] - firsts, counts) + np.arange(int(counts.sum()))
@@ -218,7 +222,7 @@ def _look_up(segment: dict, vocabulary: dict[bytes, int], windows: Windows, slac
     for d, (row, doc_id, n) in enumerate(zip(segment["rows"], segment["doc_ids"], segment["n_words"])):
         own = items.get(d, [])
         others = sorted(set(near_items.get(d, ())) - set(own))
-        yield row, doc_id, int(n), spans.get(d, []), own, others
+        yield row, doc_id, n, spans.get(d, []), own, others
 
 
 def _item_blocks(benchmark: DataFrame, block_words: int) -> Iterator[list[tuple[int | None, list[bytes]]]]:
@@ -316,8 +320,9 @@ def _one_block(index: DataFrame, block: list, size: int, slack: int) -> DataFram
         for batch in batches:
             for words, counts in zip(batch.column(0), batch.column(1)):
                 places, terms = _known(words.as_py(), vocabulary.value)
+                many = np.frombuffer(counts.as_py(), "<u4")[places]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(terms), pa.array(counts.values.to_numpy()[places].astype(np.int64))],
+                    [pa.array(terms), pa.array(many.astype(np.int64))],
                     names=["term", "n"],
                 )
 
@@ -334,11 +339,7 @@ def _one_block(index: DataFrame, block: list, size: int, slack: int) -> DataFram
         names = ["row", "doc_id", "n_words", "spans", "items", "near_items"]
         for batch in batches:
             for at in range(batch.num_rows):
-                segment = {name: batch.column(name)[at] for name in batch.schema.names}
-                segment = {
-                    name: cell.values.to_numpy() if name in ("n_words", "counts") else cell.as_py()
-                    for name, cell in segment.items()
-                }
+                segment = batch.slice(at, 1).to_pylist()[0]
                 columns = list(zip(*_look_up(segment, vocabulary.value, windows.value, slack)))
                 if columns:
                     yield pa.RecordBatch.from_arrays(
